@@ -14,6 +14,7 @@ from ledgerloom.functions.cleaning import (
     strip_integer,
     title_label,
 )
+from ledgerloom.functions.numeric import round_half_up
 from ledgerloom.functions.text import details_text, details_udf, prefixed
 
 __all__ = [
@@ -31,6 +32,7 @@ __all__ = [
     "phone_number",
     "prefixed",
     "product_code",
+    "round_half_up",
     "strip_amount",
     "strip_integer",
     "title_label",

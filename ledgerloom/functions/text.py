@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Separators of the text inputs (Java regex).
 NON_WORD = r"\W+"
@@ -25,7 +26,7 @@ def details_text(name: Column, age: Column) -> Column:
     return F.concat(F.lit("Name: "), shown_name, F.lit(", Age: "), shown_age)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def details_udf(name: pd.Series, age: pd.Series) -> pd.Series:
     """``details_text`` as an Arrow-batched function of two string columns.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numeric import round_half_up
+
 
 def count_by(df: DataFrame, key: str) -> DataFrame:
     """Rows per key, in key order."""
@@ -18,7 +20,7 @@ def count_by_value(df: DataFrame, column: str) -> DataFrame:
 
 def average_by(df: DataFrame, key: str, value: str, name: str, places: int = 2) -> DataFrame:
     """Rounded mean per key, in key order."""
-    mean = F.round(F.avg(value), places)
+    mean = round_half_up(F.avg(value), places)
     return df.groupBy(key).agg(mean.alias(name)).orderBy(key)
 
 

@@ -30,7 +30,8 @@ LIMIT 10
 
 DISCOUNT_BY_PAYMENT = """
 SELECT payment_method,
-       ROUND(CAST(SUM(discount_pct) AS DOUBLE) / COUNT(discount_pct), 2) AS avg_discount_pct,
+       CAST(ROUND(CAST(CAST(SUM(discount_pct) AS DOUBLE) / COUNT(discount_pct)
+                       AS DECIMAL(38,8)), 2) AS DOUBLE) AS avg_discount_pct,
        ROUND(CAST(SUM(net_amount) AS DOUBLE), 2) AS net_revenue
 FROM sales_enriched
 GROUP BY payment_method
@@ -47,8 +48,10 @@ WITH by_category AS (
   GROUP BY category
 )
 SELECT *,
-       ROUND(100.0D * returned_rows / NULLIF(total_rows, 0), 2) AS return_rate_pct,
-       ROUND(100.0D * cancelled_rows / NULLIF(total_rows, 0), 2) AS cancellation_rate_pct
+       CAST(ROUND(CAST(100.0D * returned_rows / NULLIF(total_rows, 0)
+                       AS DECIMAL(38,8)), 2) AS DOUBLE) AS return_rate_pct,
+       CAST(ROUND(CAST(100.0D * cancelled_rows / NULLIF(total_rows, 0)
+                       AS DECIMAL(38,8)), 2) AS DOUBLE) AS cancellation_rate_pct
 FROM by_category
 ORDER BY return_rate_pct DESC NULLS LAST, category
 """

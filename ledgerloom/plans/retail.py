@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerloom.functions import cleaning as rules
+from ledgerloom.functions.numeric import round_half_up
 from ledgerloom.operators.relational import (
     dedup_by_key,
     fk_valid,
@@ -234,7 +235,7 @@ def monthly_sales_summary(sales: DataFrame) -> DataFrame:
         F.round(total("gross_amount"), 2).alias("gross_revenue"),
         F.round(total("discount_amount"), 2).alias("total_discount"),
         F.round(total("net_amount"), 2).alias("net_revenue"),
-        F.round(total("net_amount") / F.count("net_amount"), 2).alias("avg_order_value"),
+        round_half_up(total("net_amount") / F.count("net_amount")).alias("avg_order_value"),
     )
 
 
