@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,17 +27,28 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(columns))
 
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dedup_by_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    rules: Mapping[str, Callable[[Column], Column]] | None = None,
+) -> DataFrame:
     """One row per key: the smallest row, comparing all columns left to right, nulls first.
 
     The choice depends only on the data, so a re-run or a lost executor keeps the same row.
     It is a ``min`` over the row as a struct: each map task keeps one row per key before the
     shuffle, so a key that holds a third of the input sends one row per task.
     Rows with a null key form one group, as ``dropDuplicates`` treats them.
+
+    ``rules`` are applied to columns of the kept rows as part of the aggregation's result, so
+    an expensive rule runs once per kept row even when a later filter looks at its column.
     """
-    row = F.struct(*[F.col(name) for name in df.columns])
-    kept = df.groupBy(*keys).agg(F.min(row).alias("kept_row"))
-    return kept.select("kept_row.*")
+    rules = rules or {}
+    kept = F.min(F.struct(*[F.col(name) for name in df.columns]))
+    results = [
+        rules.get(name, lambda column: column)(kept[name]).alias(name) for name in df.columns
+    ]
+    grouped = df.groupBy(*[F.col(name).alias(f"key of {name}") for name in keys])
+    return grouped.agg(*results).select(*df.columns)
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,17 +9,11 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType
 
 from ledgerloom.functions import cleaning as rules
 from ledgerloom.functions.numeric import round_half_up
-from ledgerloom.operators.relational import (
-    dedup_by_key,
-    fk_valid,
-    null_tokens,
-    require,
-    row_counts,
-)
+from ledgerloom.operators.relational import dedup_by_key, fk_valid, require, row_counts
 from ledgerloom.sinks.tables import ensure_database, save_parquet, save_table
 
 # Amounts are exact decimals by default. "float" gives the 32-bit floats of the original
@@ -28,66 +22,80 @@ EXACT = "decimal(18,4)"
 PERCENT = "decimal(7,4)"
 
 
+Rule = Callable[[Column], Column]
+
+
 @dataclass(frozen=True)
 class TableRules:
-    """How one landing table becomes a curated one."""
+    """How one landing table becomes a curated one.
+
+    ``read`` turns tidy text into a value, ``check`` turns a value out of range into null.
+    """
 
     key: str
     null_tokens: tuple[str, ...]
-    columns: Mapping[str, Callable[[Column], Column]]
+    read: Mapping[str, Rule]
+    check: Mapping[str, Rule]
     required: tuple[str, ...]
 
 
 def _apply(df: DataFrame, table: TableRules, trim_key_first: bool) -> DataFrame:
-    """Trim, drop rows that can never qualify, de-duplicate, apply the rules, require.
+    """Drop rows that can never qualify, de-duplicate, read, check, require.
 
     A row whose key fails its rule is dropped in the end whichever duplicate survives, so it
-    goes before the shuffle: missing keys, the usual hot key, are never shuffled. Validation
-    of the other columns stays after the de-duplication and does not change who survives.
+    goes before the shuffle: missing keys, the usual hot key, are never shuffled. All other
+    rules look at the surviving rows only and do not change who survives.
     """
-    key_rule = table.columns.get(table.key, lambda column: column)
+    texts = {field.name for field in df.schema.fields if isinstance(field.dataType, StringType)}
+
+    def cleaned(name: str, value: Column) -> Column:
+        tidy = rules.blank_to_null(value, table.null_tokens) if name in texts else value
+        return table.read[name](tidy) if name in table.read else tidy
+
+    key = cleaned(table.key, F.col(table.key))
+    usable = df.where(key.isNotNull())
     if trim_key_first:
-        trimmed = null_tokens(df, table.null_tokens)
-        keyed = trimmed.withColumn(table.key, key_rule(F.col(table.key)))
-        one_each = dedup_by_key(require(keyed, [table.key]), [table.key])
-    else:
-        one_each = null_tokens(dedup_by_key(df, [table.key]), table.null_tokens)
-    return require(
-        one_each.withColumns({name: rule(F.col(name)) for name, rule in table.columns.items()}),
-        table.required,
-    )
+        usable = usable.withColumn(table.key, key)
+    on_read = {name: partial(cleaned, name) for name in df.columns}
+    kept = dedup_by_key(usable, [table.key], on_read)
+    checked = kept.withColumns({name: rule(F.col(name)) for name, rule in table.check.items()})
+    return require(checked, table.required)
 
 
-def _amount(type_name: str, decimal_comma: bool = False) -> Callable[[Column], Column]:
-    """A number that is at least 0."""
+def _not_negative(value: Column) -> Column:
+    return rules.at_least(value, 0)
 
-    def rule(value: Column) -> Column:
-        return rules.at_least(rules.strip_amount(value, type_name, decimal_comma), 0)
 
-    return rule
+def _positive(value: Column) -> Column:
+    return rules.above(value, 0)
 
 
 def _orders_rules(amount_type: str) -> TableRules:
     date = partial(rules.first_date, formats=rules.ORDER_DATE_FORMATS)
+    amount = partial(rules.strip_amount, type_name=amount_type)
     percent_type = PERCENT if amount_type.startswith("decimal") else "double"
     return TableRules(
         key="order_id",
         null_tokens=rules.ORDER_NULL_TOKENS,
-        columns={
+        read={
             "order_id": rules.digits_only_id,
             "customer_id": rules.digits_only_id,
             "product_id": rules.product_code,
             "order_date": date,
             "ship_date": date,
-            "quantity": lambda value: rules.above(rules.strip_integer(value), 0),
-            "unit_price": _amount(amount_type),
-            "discount_pct": lambda value: rules.percent_or_zero(
-                rules.strip_amount(value, amount_type)
-            ).cast(percent_type),
-            "total_amount": _amount(amount_type),
+            "quantity": rules.strip_integer,
+            "unit_price": amount,
+            "discount_pct": amount,
+            "total_amount": amount,
             "payment_method": rules.title_label,
             "order_status": rules.title_label,
         },
+        check={
+            "quantity": _positive,
+            "unit_price": _not_negative,
+            "discount_pct": lambda value: rules.percent_or_zero(value).cast(percent_type),
+            "total_amount": _not_negative,
+        },
         required=(
             "order_id",
             "customer_id",
@@ -101,23 +109,27 @@ def _orders_rules(amount_type: str) -> TableRules:
 
 
 def _products_rules(amount_type: str) -> TableRules:
-    price = _amount(amount_type, decimal_comma=True)
+    amount = partial(rules.strip_amount, type_name=amount_type, decimal_comma=True)
     return TableRules(
         key="product_id",
         null_tokens=rules.PRODUCT_NULL_TOKENS,
-        columns={
+        read={
             "product_id": rules.product_code,
             "category": rules.title_label,
             "brand": rules.title_label,
-            "price": price,
-            "cost": price,
-            "stock_quantity": lambda value: rules.at_least(rules.strip_integer(value), 0),
-            "weight_kg": lambda value: rules.above(
-                rules.strip_amount(value, "float", decimal_comma=True), 0
-            ),
+            "price": amount,
+            "cost": amount,
+            "stock_quantity": rules.strip_integer,
+            "weight_kg": partial(rules.strip_amount, type_name="float", decimal_comma=True),
             "created_date": partial(rules.first_date, formats=rules.PRODUCT_DATE_FORMATS),
             "is_active": rules.flag_words,
         },
+        check={
+            "price": _not_negative,
+            "cost": _not_negative,
+            "stock_quantity": _not_negative,
+            "weight_kg": _positive,
+        },
         required=(
             "product_id",
             "product_name",
@@ -133,11 +145,8 @@ def _products_rules(amount_type: str) -> TableRules:
 CUSTOMERS_RULES = TableRules(
     key="customer_id",
     null_tokens=rules.BLANK_ONLY,
-    columns={
-        "email": rules.email_address,
-        "phone": rules.phone_number,
-        "loyalty_points": rules.floor_at_zero,
-    },
+    read={"email": rules.email_address, "phone": rules.phone_number},
+    check={"loyalty_points": rules.floor_at_zero},
     required=("customer_id", "first_name", "last_name", "email", "signup_date"),
 )
 

@@ -21,12 +21,9 @@ def _dated(text: str, number: str) -> str:
     )
 
 
-def _thousands(text: str) -> str:
-    """``1234.50`` written as ``1,234.50``."""
-    return (
-        f"CASE WHEN length({text}) > 6 THEN substr({text}, 1, length({text}) - 6) || ',' || "
-        f"substr({text}, length({text}) - 5, 6) ELSE {text} END"
-    )
+def _marked(text: str) -> str:
+    """``1234.50`` with a comma inside, ``1,234.50``; other lengths get it as well."""
+    return f"substr({text}, 1, 1) || ',' || substr({text}, 2)"
 
 
 def _money(column: str) -> str:
@@ -39,23 +36,20 @@ def _day(column: str) -> str:
 
 LANDING_ORDERS = f"""
 SELECT
-  CASE WHEN n = 2 THEN ' ' || k_text || ' ' WHEN k % 97 = 5 THEN k_text || 'x'
-       WHEN k % 101 = 7 THEN ' N/A' ELSE k_text END AS order_id,
+  CASE WHEN n = 2 THEN ' ' WHEN k % 97 = 5 THEN 'x' ELSE '' END || k_text AS order_id,
   CASE WHEN s % 53 = 1 THEN 'none' WHEN s % 59 = 2 THEN '-' || c_text
-       WHEN n = 3 THEN c_text || '  ' ELSE c_text END AS customer_id,
-  CASE WHEN s % 47 = 3 THEN 'p' || p_text WHEN n = 4 THEN ' P' || p_text
-       ELSE 'P' || p_text END AS product_id,
+       ELSE c_text || ' ' END AS customer_id,
+  CASE WHEN s % 47 = 3 THEN 'p' WHEN n = 4 THEN ' P' ELSE 'P' END || p_text AS product_id,
   CASE WHEN s % 61 = 5 THEN '2024-13-45' ELSE {_dated('ordered', 's')} END AS order_date,
-  CASE WHEN s % 43 = 0 THEN 'NULL' ELSE {_dated('shipped', 's + 1')} END AS ship_date,
-  CASE WHEN s % 41 = 6 THEN '-' || units WHEN s % 37 = 8 THEN '0'
-       WHEN k % 19 = 0 THEN units || '.5' WHEN k % 23 = 0 THEN units || ' pcs'
-       ELSE units END AS quantity,
-  CASE WHEN s % 67 = 4 THEN '1.2.3' ELSE '$' || {_thousands('price')} END AS unit_price,
-  CASE WHEN s % 13 = 0 THEN '150' WHEN s % 17 = 0 THEN '-5' WHEN s % 11 = 0 THEN ''
-       ELSE percent || ' %' END AS discount_pct,
-  CASE WHEN s % 71 = 9 THEN 'NA' ELSE 'USD ' || {_thousands('total')} END AS total_amount,
-  CASE n % 4 WHEN 0 THEN 'CARD' WHEN 1 THEN 'paypal' WHEN 2 THEN ' Cash' ELSE 'wIRE' END
-    AS payment_method,
+  CASE WHEN s % 43 = 0 THEN '' WHEN s % 2 = 0 THEN replace(shipped, '-', '/')
+       ELSE shipped END AS ship_date,
+  CASE WHEN s % 41 = 6 THEN '-' ELSE '' END || units ||
+    CASE WHEN k % 19 = 0 THEN '.5' ELSE ' pcs' END AS quantity,
+  CASE WHEN s % 67 = 4 THEN '1.2.3' ELSE '$' || {_marked('price')} END AS unit_price,
+  CASE WHEN s % 13 = 0 THEN '15' WHEN s % 17 = 0 THEN '-' ELSE '' END || percent || ' %'
+    AS discount_pct,
+  CASE WHEN s % 71 = 9 THEN 'NA' ELSE 'USD ' || {_marked('total')} END AS total_amount,
+  CASE n % 3 WHEN 0 THEN 'CARD' WHEN 1 THEN 'paypal' ELSE ' Cash' END AS payment_method,
   CASE flag WHEN 'R' THEN 'RETURNED' WHEN 'A' THEN 'cancelled ' ELSE 'Completed' END
     AS order_status
 FROM (
@@ -65,7 +59,7 @@ FROM (
          {_day('o_orderdate')} AS ordered, {_day('l_shipdate')} AS shipped,
          CAST(CAST(l_quantity AS INT) AS STRING) AS units,
          {_money('l_extendedprice')} AS price, {_money('o_totalprice')} AS total,
-         CAST(CAST(CAST(l_discount AS DECIMAL(5,2)) * 100 AS DECIMAL(9,2)) AS STRING) AS percent,
+         CAST(CAST(l_discount AS DECIMAL(5,2)) AS STRING) AS percent,
          l_returnflag AS flag
   FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 ) AS lines
@@ -73,17 +67,14 @@ FROM (
 
 LANDING_PRODUCTS = f"""
 SELECT
-  CASE WHEN n = 5 THEN ' P' || p_text WHEN p % 89 = 4 THEN 'p' || p_text
-       WHEN p % 83 = 2 THEN '?' ELSE 'P' || p_text END AS product_id,
-  CASE WHEN p % 79 = 1 THEN 'n/a' ELSE p_name || ' ' END AS product_name,
-  CASE WHEN n % 2 = 0 THEN lower(p_type) ELSE p_type END AS category,
+  CASE WHEN n = 5 THEN ' P' WHEN p % 89 = 4 THEN 'p' ELSE 'P' END || p_text AS product_id,
+  CASE WHEN p % 79 = 1 THEN 'n/a' WHEN p % 83 = 1 THEN '?' ELSE p_name END AS product_name,
+  lower(p_type) || ' ' AS category,
   CASE WHEN n % 2 = 0 THEN upper(p_brand) ELSE p_brand END AS brand,
-  CASE WHEN p % 73 = 6 THEN '1,299.50' WHEN n % 2 = 0 THEN 'EUR ' || replace(price, '.', ',')
-       ELSE price END AS price,
-  CASE WHEN s % 997 = 1 THEN 'none' ELSE replace(paid, '.', ',') END AS cost,
-  CASE WHEN s % 7 = 0 THEN '-' || units ELSE units || ' pcs' END AS stock_quantity,
-  CASE WHEN p % 9 = 0 THEN '0' WHEN p % 2 = 0 THEN size_text || ',5 kg' ELSE size_text || '.25' END
-    AS weight_kg,
+  CASE WHEN p % 73 = 6 THEN '1,299.50' ELSE 'EUR ' || replace(price, '.', ',') END AS price,
+  CASE WHEN s % 997 = 1 THEN 'none' ELSE paid END AS cost,
+  CASE WHEN s % 7 = 0 THEN '-' ELSE ' ' END || units || ' pcs' AS stock_quantity,
+  CASE WHEN p % 9 = 0 THEN '0' ELSE size_text || ',5 kg' END AS weight_kg,
   CASE WHEN p % 67 = 8 THEN '01-05-2024' WHEN s % 2 = 0 THEN replace(shipped, '-', '/')
        ELSE shipped END AS created_date,
   CASE flag WHEN 'R' THEN 'YES' WHEN 'A' THEN '0' ELSE 'maybe' END AS is_active

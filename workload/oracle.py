@@ -56,6 +56,14 @@ def _smallest(source: str, key: str, columns) -> str:
     )
 
 
+def _keyed(key: str, pattern: str, tokens: str) -> str:
+    """Landing rows whose trimmed key is usable, under that key."""
+    return (
+        f"SELECT * REPLACE (trim({key}) AS {key}) FROM landing "
+        f"WHERE regexp_full_match(trim({key}), '{pattern}') AND lower(trim({key})) NOT IN ({tokens})"
+    )
+
+
 def _dates(column: str, us_style: bool) -> str:
     us = (
         rf"WHEN regexp_full_match({column}, '\d{{2}}-\d{{2}}-\d{{4}}') "
@@ -89,8 +97,6 @@ def _title(column: str) -> str:
 ORDER_TOKENS = "'', 'null', 'n/a', 'na', 'none'"
 PRODUCT_TOKENS = ORDER_TOKENS + ", '?'"
 
-TRIMMED_ORDERS = _trimmed("landing", ORDER_COLUMNS, ORDER_COLUMNS, ORDER_TOKENS)
-
 CLEAN_ORDERS = rf"""
 SELECT order_id,
   CASE WHEN regexp_full_match(customer_id, '\d+') THEN customer_id END AS customer_id,
@@ -104,14 +110,14 @@ SELECT order_id,
   {_if(_number('total_amount'), '>= 0')} AS total_amount,
   {_title('payment_method')} AS payment_method,
   {_title('order_status')} AS order_status
-FROM survivors
+FROM trimmed
 """
 
 ORDERS_CTES = {
     "landing": over_tables(inputs.LANDING_ORDERS),
-    "trimmed": TRIMMED_ORDERS,
-    "keyed": r"SELECT * FROM trimmed WHERE regexp_full_match(order_id, '\d+')",
+    "keyed": _keyed("order_id", r"\d+", ORDER_TOKENS),
     "survivors": _smallest("keyed", "order_id", ORDER_COLUMNS),
+    "trimmed": _trimmed("survivors", ORDER_COLUMNS, ORDER_COLUMNS, ORDER_TOKENS),
     "cleaned": CLEAN_ORDERS,
     "curated": "SELECT * FROM cleaned WHERE "
     + " AND ".join(
@@ -139,14 +145,14 @@ SELECT product_id, product_name,
   {_dates('created_date', False)} AS created_date,
   CASE WHEN lower(is_active) IN ('true', '1', 'yes', 'y') THEN TRUE
        WHEN lower(is_active) IN ('false', '0', 'no', 'n') THEN FALSE END AS is_active
-FROM survivors
+FROM trimmed
 """
 
 PRODUCTS_CTES = {
     "landing": over_tables(inputs.LANDING_PRODUCTS),
-    "trimmed": _trimmed("landing", PRODUCT_COLUMNS, PRODUCT_COLUMNS, PRODUCT_TOKENS),
-    "keyed": r"SELECT * FROM trimmed WHERE regexp_full_match(product_id, 'P\d+')",
+    "keyed": _keyed("product_id", r"P\d+", PRODUCT_TOKENS),
     "survivors": _smallest("keyed", "product_id", PRODUCT_COLUMNS),
+    "trimmed": _trimmed("survivors", PRODUCT_COLUMNS, PRODUCT_COLUMNS, PRODUCT_TOKENS),
     "cleaned": CLEAN_PRODUCTS,
     "curated": "SELECT * FROM cleaned WHERE "
     + " AND ".join(
@@ -163,8 +169,8 @@ FROM curated
 
 CUSTOMERS_CTES = {
     "landing": over_tables(inputs.LANDING_CUSTOMERS),
-    "trimmed": _trimmed("landing", CUSTOMER_COLUMNS, CUSTOMER_TEXTS, "''"),
-    "survivors": _smallest("trimmed", "customer_id", CUSTOMER_COLUMNS),
+    "survivors": _smallest("landing", "customer_id", CUSTOMER_COLUMNS),
+    "trimmed": _trimmed("survivors", CUSTOMER_COLUMNS, CUSTOMER_TEXTS, "''"),
     "cleaned": r"""
 SELECT customer_id, first_name, last_name,
   CASE WHEN regexp_matches(email, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$')
@@ -173,7 +179,7 @@ SELECT customer_id, first_name, last_name,
        THEN regexp_replace(phone, '\D', '', 'g') END AS phone,
   signup_date, country, state, postal_code, is_active,
   CASE WHEN loyalty_points < 0 THEN 0 ELSE loyalty_points END AS loyalty_points
-FROM survivors""",
+FROM trimmed""",
     "curated": "SELECT * FROM cleaned WHERE customer_id IS NOT NULL AND first_name IS NOT NULL "
     "AND last_name IS NOT NULL AND email IS NOT NULL AND signup_date IS NOT NULL",
 }
@@ -361,7 +367,7 @@ def all_oracles() -> dict[str, str]:
     details = "'Name: ' || name || ', Age: ' || CAST(age AS VARCHAR) AS details"
     # An empty CSV cell reads back as null.
     landing_orders = (
-        "SELECT * REPLACE (nullif(discount_pct, '') AS discount_pct) "
+        "SELECT * REPLACE (nullif(ship_date, '') AS ship_date) "
         f"FROM ({over_tables(inputs.LANDING_ORDERS)})"
     )
     landing_customers = (
@@ -372,7 +378,8 @@ def all_oracles() -> dict[str, str]:
         "clean_orders": orders + SHOWN_ORDERS.format(source="curated"),
         "clean_products": products + SHOWN_PRODUCTS,
         "clean_customers": customers + SHOWN_CUSTOMERS.format(source="curated"),
-        "clean_null_tokens": orders + "SELECT * FROM trimmed",
+        "clean_null_tokens": _with(landing=over_tables(inputs.LANDING_ORDERS))
+        + _trimmed("landing", ORDER_COLUMNS, ORDER_COLUMNS, ORDER_TOKENS),
         "dedup_by_key": _smallest("lineitem", "l_orderkey", line_columns),
         "distinct_keys": "SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2",
         "fk_valid_orders": _with(**RETAIL_CTES, valid=FK_VALID) + SHOWN_ORDERS.format(source="valid"),
