@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import partial
@@ -176,8 +176,12 @@ def clean_customers(customers: DataFrame) -> DataFrame:
 def fk_valid_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Orders whose customer and product are curated; the two keys lead the columns."""
     valid = fk_valid(orders, {"customer_id": customers, "product_id": products})
+    return _keys_first(valid, orders.columns)
+
+
+def _keys_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     keys = ["product_id", "customer_id"]
-    return valid.select(*keys, *[name for name in orders.columns if name not in keys])
+    return df.select(*keys, *[name for name in columns if name not in keys])
 
 
 def sales_enriched(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -261,7 +265,9 @@ def curate_retail(
     """Run the whole job and return the five curated tables, read back from storage.
 
     Each table is computed once, written, and read back by whatever needs it, so the tables
-    and their Parquet exports hold the same rows.
+    and their Parquet exports hold the same rows. Curated keys are unique, so the inner joins
+    of the enrichment keep exactly the orders with valid keys, once each: the orders table is
+    a projection of the written sales and needs no join of its own.
     """
     ensure_database(spark, database, location)
 
@@ -272,11 +278,10 @@ def curate_retail(
         "customers": written("customers", clean_customers(customers)),
         "products": written("products", clean_products(products, amount_type)),
     }
-    dimensions = (tables["customers"], tables["products"])
-    valid = fk_valid_orders(clean_orders(orders, amount_type), *dimensions)
-    tables["orders"] = written("orders", valid)
-    enriched = sales_enriched(tables["orders"], *dimensions)
+    cleaned = clean_orders(orders, amount_type)
+    enriched = sales_enriched(cleaned, tables["customers"], tables["products"])
     tables["sales_enriched"] = written("sales_enriched", enriched)
+    tables["orders"] = written("orders", _keys_first(tables["sales_enriched"], cleaned.columns))
     summary = monthly_sales_summary(tables["sales_enriched"])
     tables["monthly_sales_summary"] = written("monthly_sales_summary", summary)
 
