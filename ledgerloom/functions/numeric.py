@@ -10,6 +10,6 @@ def round_half_up(value: Column, places: int = 2) -> Column:
     """A double rounded half up on its decimal reading.
 
     The last bit of a quotient can put 0.055 just under the half; eight decimal places are
-    kept first, so such a value still rounds up.
+    kept first, so such a value still rounds up. NaN and values of 1e30 and above become null.
     """
-    return F.round(value.cast("decimal(38,8)"), places).cast("double")
+    return F.round(value.try_cast("decimal(38,8)"), places).cast("double")

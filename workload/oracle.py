@@ -418,7 +418,7 @@ def all_oracles() -> dict[str, str]:
         "WHERE connections = (SELECT MIN(connections) FROM degree)",
         "word_count": "SELECT lower(word) AS word, COUNT(*) AS count FROM "
         f"({_words('documents', 'text', chr(92) + 'W+')}) GROUP BY lower(word)",
-        "word_lengths": "SELECT word, length(word) AS length FROM "
+        "word_lengths": "SELECT word, CAST(length(word) AS INTEGER) AS length FROM "
         f"({_words('conversations', 'text', '[ ' + chr(92) + 't' + chr(92) + 'n]+')})",
         "error_words": _with(lines=over_tables(inputs.LOG_LINES))
         + "SELECT upper(word) AS word FROM "
