@@ -9,6 +9,29 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 FROM texts JOIN groups USING (body)
 """
 
+OP5_DECONTAMINATE = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (
+  SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM starts),
+lengths AS (SELECT DISTINCT k FROM windows),
+places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, lengths WHERE len(w) >= k),
+found AS (
+  SELECT doc_id, i, p.k, item_id FROM places p JOIN windows v ON v.k = p.k AND v.phrase = array_to_string(w[i:i + p.k - 1], ' ')),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM split LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_EXACT_DEDUP}
+    return {"op5_decontaminate": OP5_DECONTAMINATE, "op7_exact_dedup": OP7_EXACT_DEDUP}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, language, pieces
+from ledgerloom.llm import decontaminate, exact_dedup, language, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op3_sentencepiece(spark, folder):
     )
 
 
+def op5_decontaminate(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
