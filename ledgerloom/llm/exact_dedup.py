@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import scratch_folder, stored
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a commit writes what changed, and many small stores do not reserve disk that they never fill
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -33,8 +37,9 @@ def update_state(spark: SparkSession, staged: str, checkpoint: str, changes: str
 
     The state lives on from call to call under ``checkpoint``.
     """
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         state = (
             spark.readStream.schema("doc_id long, digest binary, locator string")
@@ -57,7 +62,8 @@ def update_state(spark: SparkSession, staged: str, checkpoint: str, changes: str
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def exact_groups(docs: DataFrame, files_per_batch: int = 128) -> DataFrame:
