@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, language, pieces
+from ledgerloom.llm import decontaminate, exact_dedup, language, near_dedup, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op9_language_id(spark, folder):
     return language.identify_languages(table(spark, folder, "documents"))
 
 
+def op10_near_dedup(spark, folder):
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     from corpus_pipeline import run
 
