@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, language, near_dedup, pieces
+from ledgerloom.llm import decontaminate, exact_dedup, language, licenses, near_dedup, pieces, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,10 +30,18 @@ def op5_decontaminate(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_license_scan(spark, folder):
+    return licenses.license_matches(table(spark, folder, "documents"), licenses.default_templates(spark))
+
+
 def op7_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op8_quality(spark, folder):
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_language_id(spark, folder):
     return language.identify_languages(table(spark, folder, "documents"))
 
