@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, hmm, language, licenses, near_dedup, pieces, quality
+from ledgerloom.llm import decontaminate, exact_dedup, hmm, language, licenses, near_dedup, pieces, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pii(spark, folder):
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
 def op2_lm_score(spark, folder):
     return hmm.score_documents(table(spark, folder, "documents"))
 
