@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, hmm, language, licenses, near_dedup, pieces, pii, quality
+from ledgerloom.llm import decontaminate, exact_dedup, hmm, language, licenses, near_dedup, pieces, pii, quality, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,11 @@ def op3_sentencepiece(spark, folder):
     )
 
 
+def op4_suffix_dedup(spark, folder):
+    out = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontaminate(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
