@@ -167,15 +167,18 @@ def train(
     return CoTrained.fit(text[has], meta[has], good[has], text[~has], meta[~has], rounds, sure, share)
 
 
+LABELLED, POOL, ROUNDS, SURE, SHARE, THRESHOLD = 4000, 4000, 4, 0.98, 0.05, 0.5
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
-    labelled: int = 4000,
-    pool: int = 4000,
-    rounds: int = 4,
-    sure: float = 0.98,
-    share: float = 0.05,
-    threshold: float = 0.5,
+    labelled: int = LABELLED,
+    pool: int = POOL,
+    rounds: int = ROUNDS,
+    sure: float = SURE,
+    share: float = SHARE,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_score, meta_score, score (1 is good), kept.
 
@@ -188,20 +191,38 @@ def quality_scores(
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, labelled, pool, rounds, sure, share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 1024):
-                part = batch.slice(begin, 1024)
-                scores = model.value.scores(*_features(part))
-                columns = [pa.array(s.astype(np.float64)) for s in scores]
-                yield pa.record_batch(
-                    [part.column("doc_id"), *columns, pa.array(scores[2] >= threshold)],
-                    names=["doc_id", "text_score", "meta_score", "score", "kept"],
-                )
+        for part in _slices(batches):
+            scores = model.value.scores(*_features(part))
+            columns = [pa.array(s.astype(np.float64)) for s in scores]
+            yield pa.record_batch(
+                [part.column("doc_id"), *columns, pa.array(scores[2] >= threshold)],
+                names=["doc_id", "text_score", "meta_score", "score", "kept"],
+            )
 
     return docs.select("doc_id", "text", "lang", "source", "n_chars").mapInArrow(run, SCHEMA)
 
 
-def without_low_quality(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that ``quality_scores`` keeps, all columns; ids without a row to reject stay."""
-    gone = quality_scores(docs, labels, **settings).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")
+def without_low_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    labelled: int = LABELLED,
+    pool: int = POOL,
+    rounds: int = ROUNDS,
+    sure: float = SURE,
+    share: float = SHARE,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs`` that ``quality_scores`` keeps, with all their columns and without a shuffle."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, labelled, pool, rounds, sure, share))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            yield part.filter(pa.array(model.value.scores(*_features(part))[2] >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 1024):
+            yield batch.slice(begin, 1024)
