@@ -8,8 +8,10 @@
    unless common values make up half of it.
 3. Classes whose sketch is common to a good part (``COMMON_SHARE``) are compared once more among
    themselves, by whole sets: of the shingles from rare to common, linked sets must share one among
-   the first quarter (an exact bound). Long lists of these are first compared with one member each,
-   so that what is one component already need not be paired any more.
+   the first quarter, early enough, and neither may have many shingles alone (exact bounds). Long
+   lists of these are first compared with one member each, the one with the fewest shingles of its
+   own: of a group of near copies that is what they were made from. What is then one component need
+   not be paired any more.
 4. The sketch of the union estimates the similarity and filters; whole sets decide.
 5. Components are the least ids reachable over the links, found by spreading them in rounds.
 """
@@ -34,7 +36,7 @@ COMMON_SHARE = 18 / 64
 MIN_OVERLAP = 2
 # The estimate's deviation at 0.75 is 0.054: pairs below this are 4.6 deviations away.
 ESTIMATE_FLOOR = 0.5
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 PERCENT = 75
 
 SKETCHED = "doc_id long, n_shingles long, digest binary, sketch binary, values array<long>"
@@ -119,6 +121,15 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return with_both(pairs, sets, "members").mapInArrow(run, "a long, b long")
 
 
+def could_link(n: Column, own: Column, at: Column, x_n: Column, x_own: Column, x_at: Column) -> Column:
+    """Whether two sets can be linked by a shingle at these places, if it is the first they share.
+
+    ``own`` shingles are in no other set; what stands before the place is not shared.
+    """
+    most = F.least(n - own, x_n - x_own, n - at, x_n - x_at)
+    return 100 * most >= PERCENT * (n + x_n - most)
+
+
 def sizes_fit(x: Column, y: Column) -> Column:
     """Whether sets of these sizes can be linked at all."""
     return (100 * x >= PERCENT * y) & (100 * y >= PERCENT * x)
@@ -154,10 +165,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def rare_prefixes(sets: DataFrame, chosen: DataFrame) -> DataFrame:
-    """token, node, n: of each chosen set the rarest shingles, one of which linked sets must share.
+    """token, node, n, own, at: of each chosen set the rarest shingles, one of which linked sets must share.
 
-    Rare means in few of the chosen sets; shingles of one set alone lead and are left out, as they
-    link to nothing.
+    Rare means in few of the chosen sets; the ``own`` shingles of one set alone lead and are left out,
+    as they link to nothing. ``at`` counts from 0, these included.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +187,12 @@ def rare_prefixes(sets: DataFrame, chosen: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")
     )
     # ceil(0.75 n) shingles may come after the prefix; those of one set alone are before the rest
-    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("tokens"))
+    own = F.col("n") - F.size("tokens")
+    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - own
     return (
         in_several.filter(length > 0)
-        .select("node", "n", F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("t"))
-        .select(F.col("t.token").alias("token"), "node", "n")
+        .select("node", "n", own.alias("own"), F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("k", "t"))
+        .select(F.col("t.token").alias("token"), "node", "n", "own", (F.col("own") + F.col("k")).alias("at"))
     )
 
 
@@ -191,23 +203,25 @@ def _pairs_of(first: Column, second: Column) -> list[Column]:
 def links_among_common(sets: DataFrame, chosen: DataFrame, links: DataFrame) -> DataFrame:
     """More links, between the chosen nodes, that together with ``links`` join all that is linked."""
     prefixes = stored(rare_prefixes(sets, chosen), "prefixes")
-    tested = None
+    tested, columns = None, ["node", "label", "n", "own", "at"]
     for number in range(STAR_ROUNDS + 1):
         labels = components(links)
         rows = prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         lists = rows.groupBy("token").agg(
             F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "label", "n")).alias("head"),
+            F.min(F.struct("own", F.xxhash64("node", F.lit(number)).alias("h"), "node", "label", "n", "at")).alias("head"),
         )
         unsettled = lists.filter("low <> high")
         if number < STAR_ROUNDS:  # one member of each list against the others
-            head = unsettled.select("token", "head.node", "head.label", "head.n").toDF("token", "x", "x_label", "x_n")
+            head = unsettled.select("token", *(f"head.{c}" for c in columns))
         else:  # every member against those of other components
-            head = rows.join(unsettled.select("token"), "token", "left_semi").toDF("token", "x", "x_n", "x_label")
+            head = rows.join(unsettled.select("token"), "token", "left_semi").select("token", *columns)
+        head = head.toDF("token", *(f"x_{c}" for c in columns))
+        fits = could_link(*(F.col(c) for c in ("n", "own", "at", "x_n", "x_own", "x_at")))
         pairs = (
             rows.join(head, "token")
-            .filter((F.col("label") != F.col("x_label")) & sizes_fit(F.col("n"), F.col("x_n")))
-            .select(*_pairs_of(F.col("node"), F.col("x")))
+            .filter((F.col("label") != F.col("x_label")) & fits)
+            .select(*_pairs_of(F.col("node"), F.col("x_node")))
             .distinct()
         )
         if tested is not None:
