@@ -122,14 +122,17 @@ def _scan(spark: SparkSession, rows: DataFrame, templates: list, length: int, ba
     )
     all_shingles = sorted({" ".join(w[i : i + size]) for _, w in templates for i in range(length - size + 1)})
     starts = F.sequence(F.lit(1), F.size("words"), F.lit(step))
-    windows = (
-        rows.filter(F.size("words") >= size)
-        .select("doc_id", "words", F.explode(starts).alias("at"))
-        .select("doc_id", F.slice("words", F.col("at"), length + step).alias("window"), "at")
-        .select("doc_id", "at", shingles_of(F.col("window"), size).alias("shingles"))
-        # a window without any shingle of a template contains none of it
-        .filter(F.arrays_overlap("shingles", F.array(*map(F.lit, all_shingles))))
+    # windows are cut inside the row: each then travels without the document's other words
+    cut = F.transform(
+        starts,
+        lambda at: F.struct(
+            at.alias("at"), shingles_of(F.slice(F.col("words"), at, length + step), size).alias("shingles")
+        ),
     )
+    # a window without any shingle of a template contains none of it
+    known_shingles = F.array(*map(F.lit, all_shingles))
+    some = F.filter(cut, lambda window: F.arrays_overlap(window["shingles"], known_shingles))
+    windows = rows.filter(F.size("words") >= size).select("doc_id", F.inline(some))
     hashed = windows.select("doc_id", "at", "shingles", F.posexplode(min_hashes(F.col("shingles"), bands)).alias("band", "least"))
     template_bands = known.select("license", "wanted", F.posexplode(min_hashes(F.col("wanted"), bands)).alias("band", "least"))
     candidates = hashed.join(F.broadcast(template_bands), ["band", "least"]).select("doc_id", "at", "shingles", "license", "wanted").distinct()
