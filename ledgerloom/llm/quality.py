@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 TEXT_SIZE = 512
 META_SIZE = 64
+# Rows that are worked on at once.
+SLICE = 256
 SCHEMA = "doc_id long, text_score double, meta_score double, score double, kept boolean"
 
 
@@ -129,14 +131,13 @@ def _gathered(docs: DataFrame, wanted: DataFrame) -> tuple[np.ndarray, np.ndarra
     """doc_id, label (nan: none), text and metadata features of the wanted documents, in order of id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                text, meta = _features(batch)
-                packed = [np.concatenate(x).tobytes() for x in zip(text, meta)]
-                yield pa.record_batch(
-                    [batch.column("doc_id"), batch.column("good"), pa.array(packed, pa.binary())],
-                    names=["doc_id", "good", "features"],
-                )
+        for part in _slices(batches):
+            text, meta = _features(part)
+            packed = [np.concatenate(x).tobytes() for x in zip(text, meta)]
+            yield pa.record_batch(
+                [part.column("doc_id"), part.column("good"), pa.array(packed, pa.binary())],
+                names=["doc_id", "good", "features"],
+            )
 
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     found = docs.select(*columns).join(wanted, "doc_id").mapInArrow(run, "doc_id long, good double, features binary").collect()
@@ -224,5 +225,5 @@ def without_low_quality(
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for begin in range(0, batch.num_rows, 1024):
-            yield batch.slice(begin, 1024)
+        for begin in range(0, batch.num_rows, SLICE):
+            yield batch.slice(begin, SLICE)
