@@ -86,8 +86,13 @@ def phrase_candidates(index: DataFrame, ranked: DataFrame) -> DataFrame:
     anchors = ranked.select("item", "at", F.size("ranked").alias("needed"), F.explode("ranked").alias("a"))
     anchors = anchors.select("item", "at", "needed", F.col("a.place").alias("place"), F.col("a.word").alias("word"))
     wanted = anchors.groupBy("word", "item", "place").agg(F.collect_list(F.struct("at", "needed")).alias("windows"))
+    # only the postings of the rarest words are shuffled: the frequent ones leave before it
+    rare = wanted.select("word").distinct()
+    if rare.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
+        rare = F.broadcast(rare)
     found = (
-        index.join(wanted, "word")
+        index.join(rare, "word", "left_semi")
+        .join(wanted, "word")
         .select("item", *DOC, (F.col("pos") - F.col("place")).alias("start"), F.explode("windows").alias("w"))
         .groupBy("item", *DOC, "start", "w")
         .agg(F.count("*").alias("met"))
