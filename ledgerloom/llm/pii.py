@@ -226,6 +226,10 @@ def added_spans(text: str, labels: np.ndarray, rules: list[Span]) -> list[Span]:
         value = text[start:end]
         start += len(value) - len(value.lstrip())
         end -= len(value) - len(value.rstrip())
+        while start and text[start - 1].isalnum():  # a value does not begin or end inside a word
+            start -= 1
+        while end < len(text) and text[end].isalnum():
+            end += 1
         if not any(s < end and start < e for s, _, e in rules) and plausible(kind, text[start:end]):
             out.append((start, kind, end))
     return out

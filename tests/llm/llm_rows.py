@@ -1,3 +1,5 @@
+"""Fixtures that build documents frames."""
+
 import pytest
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from llm_rows import clashing, documents  # noqa: F401
 
 from ledgerloom.llm import exact_dedup, near_dedup, suffix_dedup
 from ledgerloom.llm.shingles import Shingler

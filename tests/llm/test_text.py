@@ -1,0 +1,342 @@
+"""Personal data, language model, pieces, language, quality: brute force, round trips, held-out accuracy."""
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SMALL
+from llm_rows import clashing, documents  # noqa: F401
+
+from ledgerloom.llm import bilstm, hmm, language, pieces, pii, quality
+from ledgerloom.llm.queries import MODEL_PATH, table
+
+TEXTS = [(1, "plain words here"), (2, None), (3, ""), (4, " \t\n"), (5, "x y " * 40_000), (6, "12345 !!"), (7, "plain words here"), (None, "é ñ 日本 ▁ \x00 𝄞")]
+
+# --- personal data ------------------------------------------------------------------------
+
+PERSONAL = [
+    "mail a.b+c@d-e.co.uk, x@y and @z.com then a@b.c@d.e; aa@bb..cc",
+    "1.2.3.4 and 1.2.3.4.5.6.7.8 or 256.1.1.1, 001.02.3.4 0000000300.1.1.1 9" + "9" * 5000 + ".1.1.1",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112 or 4111111111111111  4111  1111",
+    "+49 (0)30 1234567 and +1.2 and +1 555 0100 200- or +123456789012345678",
+    "é +33 1 23 45 67 89 é a@b.c",
+    "@" * 2000 + "a" * 5000 + "@" + "b." * 50,
+]
+
+
+def rules_brute(text):
+    def luhn(digits):
+        doubled = [int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))]
+        return sum(doubled) % 10 == 0
+
+    def digits(m):
+        return re.sub(r"[^0-9]", "", m.group())
+
+    def parts(m):
+        return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))
+
+    rules = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", parts),
+        (r"[0-9]([\x20-]?[0-9])+", lambda m: 12 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15),
+    ]
+    return sorted((m.start(), k, m.end()) for k, (p, ok) in enumerate(rules) for m in re.finditer(p, text) if ok(m))
+
+
+@pytest.mark.parametrize("text", PERSONAL)
+def test_rules_match_the_patterns(text):
+    assert pii.rule_spans(text) == rules_brute(text)
+
+
+def test_rules_match_the_patterns_on_random_text():
+    chance = random.Random(4)
+    for _ in range(400):
+        text = "".join(chance.choice("ab.@+-  ()0123456789") for _ in range(80))
+        assert pii.rule_spans(text) == rules_brute(text), text
+
+
+@pytest.fixture(scope="module")
+def tagger(spark):
+    return pii.train(table(spark, SMALL, "documents"), 1500, 16_384, 3000, 220)
+
+
+def test_tagger_gradient():
+    t = bilstm.Tagger(4)
+    rng = np.random.default_rng(1)
+    block, labels = rng.integers(0, 160, (6, 3)), rng.integers(0, 2, (6, 3)) * 2
+    _, g = t.gradient(block, labels)
+    for name in g:
+        at = (block[2, 1], 3) if name[0] == "x" else tuple(n // 2 for n in t.p[name].shape)
+        losses = []
+        for step in (1e-5, -2e-5):
+            t.p[name][at] += step
+            losses.append(t.gradient(block, labels)[0])
+        t.p[name][at] += 1e-5
+        assert abs((losses[0] - losses[1]) / 2e-5 - g[name][at]) < 1e-6
+
+
+def test_decoding_is_the_best_path():
+    t, rng = bilstm.Tagger(2), np.random.default_rng(2)
+    a = t._transitions()
+    for _ in range(30):
+        e = rng.normal(0, 2, (5, 1, 3))
+        score = lambda q: sum(e[i, 0, q[i]] for i in range(5)) + t.p["first"][q[0]] + sum(a[q[i], q[i + 1]] for i in range(4))
+        best = max(itertools.product(range(3), repeat=5), key=score)
+        assert tuple(t.decode(e)[:, 0]) == best
+        assert not t.surely_outside(e)[0] or not any(best)
+
+
+def test_model_finds_held_out_values_and_spares_clean_text(spark, tagger):
+    texts = [row.text for row in table(spark, SMALL, "documents").collect()]
+    windows, labels = pii.training_windows(texts, 400, seed=99)
+    found = tagger.labels(np.ascontiguousarray(windows.T)).T
+    assert (found == labels)[labels > 0].mean() > 0.9 and (found > 0)[labels == 0].mean() < 0.02
+    clean = "the onha with thint of and shed erea. " * 100
+    assert not pii.added_spans(clean, pii.text_labels(tagger, [clean])[0], [])
+    odd = "Write to anna at example dot com soon."
+    assert pii.added_spans(odd, pii.text_labels(tagger, [odd])[0], []) == [(9, 0, 32)]
+
+
+def test_windows_agree_with_one_window(tagger, monkeypatch):
+    text = ("word " * 40 + "call +49 30 1234567 now, or mail me@here.org ") * 6
+    whole = pii.text_labels(tagger, [text[:500]])[0]
+    monkeypatch.setattr(pii, "WINDOW", 192)
+    parts = pii.text_labels(tagger, [text[:500], "", text])[0]
+    assert (whole == parts).mean() > 0.99
+
+
+def test_personal_data_of_odd_texts(clashing):
+    rows = [(i, text) for i, text in enumerate(PERSONAL)] + [(100 + i, text) for i, (_, text) in enumerate(TEXTS)] + [(None, PERSONAL[0])]
+    found = pii.find_personal_data(clashing(*rows), windows=200, steps=20).collect()
+    assert len(found) == len(rows)
+    for row, (doc_id, text) in zip(sorted(found, key=lambda r: (r.doc_id is None, r.doc_id)), rows):
+        rules = rules_brute(text or "")
+        assert row.doc_id == doc_id
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(sum(s[1] == k for s in rules) for k in range(4))
+        assert set(filter(None, pii.written(rules).split(","))) <= set(row.spans.split(","))
+        assert len(list(filter(None, row.spans.split(",")))) == len(rules) + row.n_added
+
+
+def test_personal_data_of_nothing(documents):
+    assert pii.find_personal_data(documents((1, "a")).limit(0)).count() == 0
+
+
+# --- language model -----------------------------------------------------------------------
+
+
+def test_forward_is_the_sum_over_all_paths():
+    rng = np.random.default_rng(3)
+    model = hmm.Model(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T)
+    texts = [rng.integers(0, 5, n).astype(np.int32) for n in (1, 6, 4)]
+    for text, found in zip(texts, model.log_likelihood(texts)):
+        total = sum(
+            model.start[q[0]] * math.prod(model.step[q[i], q[i + 1]] for i in range(len(q) - 1))
+            * math.prod(model.emit[text[i], q[i]] for i in range(len(q)))
+            for q in itertools.product(range(3), repeat=len(text))
+        )
+        assert abs(found - math.log10(total)) < 1e-9
+
+
+def test_expected_counts_are_those_of_all_paths(monkeypatch):
+    for name, value in (("STATES", 2), ("OWN_CLASS", 3), ("HASHED", 1)):
+        monkeypatch.setattr(hmm, name, value)
+    rng = np.random.default_rng(4)
+    model = hmm.Model(rng.dirichlet(np.ones(2)), rng.dirichlet(np.ones(2), 2), rng.dirichlet(np.ones(4), 2).T)
+    texts = [rng.integers(0, 4, n).astype(np.int32) for n in (5, 1, 3)]
+    found = model.expected(texts)
+    want = hmm.Expected.nothing()
+    for text in texts:
+        paths = list(itertools.product(range(2), repeat=len(text)))
+        p = [
+            model.start[q[0]] * math.prod(model.step[q[i], q[i + 1]] for i in range(len(q) - 1))
+            * math.prod(model.emit[text[i], q[i]] for i in range(len(q))) for q in paths
+        ]
+        for q, share in zip(paths, np.array(p) / sum(p)):
+            want.start[q[0]] += share
+            for i, state in enumerate(q):
+                want.emit[text[i], state] += share
+                if i:
+                    want.step[q[i - 1], state] += share
+    for a, b in ((found.start, want.start), (found.step, want.step), (found.emit, want.emit)):
+        assert np.allclose(a, b)
+
+
+@pytest.mark.parametrize("at_hand", [20, 131_072])
+def test_scores_match_the_counts(documents, clashing, at_hand, monkeypatch):
+    monkeypatch.setattr(hmm, "AT_HAND", at_hand)
+    chance = random.Random(1)
+    rows = [(i, " ".join(f"W{min(chance.randrange(60), chance.randrange(60))}" for _ in range(chance.randrange(40)))) for i in range(120)]
+    rows += [(200 + i, text) for i, (_, text) in enumerate(TEXTS)] + [(None, "a b")]
+    tokens = {i: (text or "").encode().lower().split() + [b""] for i, text in rows}
+    held = {i: zlib.crc32(b"null" if i is None else str(i).encode()) % 5 == 1 for i in tokens}
+    counts = Counter(word for i, words in tokens.items() if not held[i] for word in words)
+    n, v = sum(counts.values()), len(counts)
+    found = hmm.score_documents(clashing(*rows), sample=50, sample_passes=3).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        words = tokens[row.doc_id]
+        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (
+            held[row.doc_id], len(words), sum(counts[w] > 0 for w in words), n
+        )
+        assert abs(row.base_score - base) < 1e-6 * max(1, -base) and row.score < 0
+
+
+def test_model_beats_the_counts_on_held_out_text(spark):
+    found = hmm.score_documents(table(spark, SMALL, "documents")).filter("held_out")
+    sums = found.groupBy().sum("base_score", "score", "n_tokens").first()
+    assert sums[1] > sums[0] and sums[2] > 0
+
+
+def test_scores_without_training_or_documents(documents):
+    held = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
+    found = hmm.score_documents(documents(*((i, "a b") for i in held))).collect()
+    assert [(r.n_known, r.train_tokens, r.base_score) for r in found] == [(0, 0, 0.0)] * 3
+    assert hmm.score_documents(documents((1, "a")).limit(0)).count() == 0
+
+
+# --- pieces -------------------------------------------------------------------------------
+
+
+def toy():
+    words = ["▁", "a", "b", "ab", "▁a", "▁ab", "abab", "ba", "é", "."]
+    scores = [-3.0, -2.0, -2.0, -3.5, -2.5, -4.0, -6.0, -3.5, -4.0, -1.0]
+    return pieces.Vocabulary([(i + 256, w.encode(), s) for i, (w, s) in enumerate(zip(words, scores))], list(range(256)))
+
+
+def best_sum(v, data):
+    """The largest sum of scores over all ways to cut ``data``, without a trie."""
+    numbers = {text: v.scores[i] for i, text in v.text.items()}
+    best = [0.0] + [-math.inf] * len(data)
+    for end in range(1, len(data) + 1):
+        for start in range(end):
+            cut = data[start:end]
+            score = numbers.get(cut, v.unknown_score if _one_character(cut) and not _starts(numbers, data, start) else -math.inf)
+            best[end] = max(best[end], best[start] + score)
+    return best[-1]
+
+
+def _one_character(cut):
+    try:
+        return len(cut.decode()) == 1
+    except UnicodeDecodeError:
+        return False
+
+
+def _starts(numbers, data, start):
+    width = next(k for k in (1, 2, 3, 4) if _one_character(data[start : start + k]))
+    return data[start : start + width] in numbers
+
+
+def path_sum(v, ids):
+    """The sum of scores of an encoding; a run of byte pieces is one unknown for each character."""
+    total, held = 0.0, bytearray()
+    for i in [*ids, None]:
+        if i in v.byte_of:
+            held.append(v.byte_of[i])
+            continue
+        total += len(held.decode()) * v.unknown_score
+        held.clear()
+        total += v.scores[i] if i is not None else 0
+    return total
+
+
+def test_encoding_is_the_best_cut():
+    v, chance = toy(), random.Random(2)
+    codec = pieces.Codec(v)
+    for _ in range(200):
+        text = "".join(chance.choice("aabb .éx𝄞") for _ in range(chance.randrange(1, 14)))
+        ids = codec.encode(text)
+        marked = ("▁" + text.replace(" ", "▁")).encode()
+        assert abs(path_sum(v, ids) - best_sum(v, marked)) < 1e-9
+        assert codec.decode(ids) == text
+        assert ids == list(codec.viterbi(marked)) or abs(path_sum(v, codec.viterbi(marked)) - path_sum(v, ids)) < 1e-9
+
+
+def test_double_array_holds_its_words():
+    words = {bytes([a, b]): a * 7 + b for a in range(60) for b in range(0, 250, 9)} | {b"long word": 99999, b"l": 88888}
+    base, check, value = pieces.double_array(words)
+
+    def find(word):
+        state = 0
+        for byte in word:
+            step = base[state] + byte + 1
+            if step >= len(check) or check[step] != state:
+                return -1
+            state = step
+        return value[state]
+
+    assert all(find(word) == number for word, number in words.items())
+    assert find(b"long") == -1 and find(b"zz") == -1 and find(b"long word!") == -1
+
+
+def test_public_pieces_round_trip(clashing):
+    rows = TEXTS + [(8, "a  b   c "), (9, "▁▁ x▁"), (10, "word" * 5000)]
+    found = pieces.encode_pieces(clashing(*rows), MODEL_PATH).collect()
+    by_text = dict(zip([r[1] for r in rows], found))
+    assert len(found) == len(rows) and by_text[None].round_trip is None and by_text[None].n_pieces == 0
+    assert all(row.round_trip for row, (_, text) in zip(found, rows) if text is not None)
+    assert [row.n_pieces for row in found] == [len(row.piece_ids) for row in found]
+    assert by_text["é ñ 日本 ▁ \x00 𝄞"].n_byte_pieces >= 3
+    assert pieces.encode_pieces(clashing(*rows).limit(0), MODEL_PATH).count() == 0
+
+
+def test_whole_text_and_its_words_encode_alike():
+    v = pieces.Vocabulary.from_file(MODEL_PATH)
+    codec = pieces.Codec(v)
+    for text in ("The quick brown fox, jumped!\nOver  12 dogs.", "naïve façade — 3.14", "a,b.c!d"):
+        assert codec.encode(text) == list(codec.viterbi(("▁" + text.replace(" ", "▁")).encode()))
+
+
+# --- language and quality -------------------------------------------------------------------
+
+
+def test_language_of_held_out_documents(spark):
+    docs = table(spark, SMALL, "documents")
+    found = {r.doc_id: r for r in language.identify_languages(docs).collect()}
+    held = [(found[r.doc_id].lang_pred, r.lang) for r in docs.collect() if found[r.doc_id].held_out]
+    assert len(held) > 30 and sum(a == b for a, b in held) / len(held) > 0.9
+    assert all(0 <= row.score <= 1 for row in found.values())
+
+
+def test_language_of_odd_texts(clashing):
+    rows = [(i, text, lang) for i, (text, lang) in enumerate([("the and of with this " * 9, "en"), ("der die und das nicht " * 9, "de")] * 12)]
+    rows += [(100 + i, text) for i, (_, text) in enumerate(TEXTS)] + [(None, "the and of with")]
+    found = {r.doc_id: r for r in language.identify_languages(clashing(*rows)).collect()}
+    assert found[None].lang_pred == "en" and found[100].lang_pred in ("en", "de")
+    assert {found[100 + k].lang_pred for k in (1, 2, 3, 5)} == {"und"} and found[101].rejected
+    tied = language.CompressionClassifier({"b": b"same text", "a": b"same text"})
+    assert tied.classify("same text")[0] == "a" and tied.classify("same text")[2] == 0
+    assert language.CompressionClassifier({}).classify("text") == ("und", 0.0, 0.0)
+    assert {r.lang_pred for r in language.identify_languages(clashing((1, "text"), (2, None))).collect()} == {"und"}
+    assert language.identify_languages(clashing(*rows).limit(0)).count() == 0
+
+
+def test_quality_on_labelled_documents_not_learned_from(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    learn = labels.filter("doc_id % 3 <> 0")
+    found = {r.doc_id: r.kept for r in quality.quality_scores(docs, learn).collect()}
+    held = [(found[r.doc_id], r.quality == 1) for r in labels.filter("doc_id % 3 = 0").collect()]
+    good = [kept for kept, is_good in held if is_good]
+    bad = [kept for kept, is_good in held if not is_good]
+    assert sum(good) / len(good) > 0.95 and sum(bad) / len(bad) < 0.35
+
+
+def test_quality_of_odd_rows(spark, clashing):
+    rows = [(i, "good words here " * 5, "en", "s", 9) if i % 2 else (i, "&&&### $$$ " * 5, "en", "t", 9) for i in range(60)]
+    rows += [(100 + i, text) for i, (_, text) in enumerate(TEXTS)] + [(None, "x")]
+    docs = clashing(*rows)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(1, 1, 0), (1, 0, 0), (None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    found = quality.quality_scores(docs, labels).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    assert all(r.kept == bool(r.doc_id % 2) for r in found if r.doc_id is not None and r.doc_id < 60)
+    kept = quality.without_low_quality(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in found)
+    assert all(r.kept for r in quality.quality_scores(docs, labels.limit(0)).collect())
+    assert quality.quality_scores(docs.limit(0), labels).count() == 0
