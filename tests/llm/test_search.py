@@ -76,7 +76,9 @@ def test_proximity(spark, documents):
     queries = spark.createDataFrame([("a", ["red", "green", "blue"]), ("b", ["red", "none"]), ("c", ["blue"]), ("d", [])], "query string, words array<string>")
     found = decontaminate.proximity_matches(index, queries, 3)
     near = {(r["query"], r.doc_id) for r in found.collect()}
-    assert near == {("a", 1), ("a", 3), ("c", 1), ("c", 2), ("c", 3)}
+    assert near == {("a", 3), ("c", 1), ("c", 2), ("c", 3)}
+    wider = decontaminate.proximity_matches(index, queries, 5).collect()
+    assert {r.doc_id for r in wider if r["query"] == "a"} == {1, 3}
 
 
 # --- licences -----------------------------------------------------------------------------
