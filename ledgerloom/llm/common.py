@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+_OWN_FOLDERS: dict[str, str] = {}
+
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, which driver and executors share.
@@ -25,8 +27,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _OWN_FOLDERS:
+            _OWN_FOLDERS[application] = "file://" + tempfile.mkdtemp(prefix="llm-")
+        base = _OWN_FOLDERS[application]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

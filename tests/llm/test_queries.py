@@ -81,3 +81,17 @@ def test_entry_without_the_subpackage(tmp_path):
     )
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
+
+
+def test_own_scratch_folder_only_where_none_is_named(spark):
+    class Without:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            applicationId = "test"
+
+    one, two = scratch_folder(Without, "a"), scratch_folder(Without, "a")
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert not shared or scratch_folder(spark, "a").startswith(shared)
