@@ -22,6 +22,7 @@ PRODUCT_CODE_PATTERN = r"^P\d+$"
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 NOT_AMOUNT_PATTERN = r"[^0-9.\-]"
 NOT_INTEGER_PATTERN = r"[^0-9\-]"
+NUMBER_PATTERN = r"^-?(\d+\.?\d*|\.\d+)\z"
 
 # Date formats in order of preference, and yes/no words.
 ORDER_DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM-dd-yyyy")
@@ -70,9 +71,14 @@ def strip_amount(value: Column, type_name: str, decimal_comma: bool = False) ->
 
     With ``decimal_comma`` a comma is read as the decimal point (``12,50`` is 12.50);
     without it a comma is a thousands mark and is removed (``12,50`` is 1250).
+    What is left and is no number (``1.2.3``) becomes null. A number that the type cannot hold
+    raises: as null it would cost the whole row without a trace.
     """
     text = F.translate(value, ",", ".") if decimal_comma else value
-    return F.regexp_replace(text, NOT_AMOUNT_PATTERN, "").try_cast(type_name)
+    number = F.regexp_replace(text, NOT_AMOUNT_PATTERN, "")
+    read = number.try_cast(type_name)
+    too_large = F.raise_error(F.concat(F.lit(f"amount does not fit {type_name}: "), number))
+    return F.when(read.isNull() & number.rlike(NUMBER_PATTERN), too_large.cast(type_name)).otherwise(read)
 
 
 def strip_integer(value: Column) -> Column:

@@ -10,6 +10,8 @@ def round_half_up(value: Column, places: int = 2) -> Column:
     """A double rounded half up on its decimal reading.
 
     The last bit of a quotient can put 0.055 just under the half; eight decimal places are
-    kept first, so such a value still rounds up. NaN and values of 1e30 and above become null.
+    kept first, so such a value still rounds up. What has no such reading stays as it is: NaN, the
+    infinities, and values from 1e30 on, which have no places left to round.
     """
-    return F.round(value.try_cast("decimal(38,8)"), places).cast("double")
+    rounded = F.round(value.try_cast("decimal(38,8)"), places).cast("double")
+    return F.coalesce(rounded, value.cast("double"))

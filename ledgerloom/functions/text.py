@@ -10,6 +10,8 @@ from pyspark.sql.types import StringType
 # Separators of the text inputs (Java regex).
 NON_WORD = r"\W+"
 BLANKS = r"\s+"
+# What splits words as a plain text split does: the Unicode blanks and the four separator controls.
+UNICODE_BLANKS = r"[\x09-\x0D\x1C-\x20\x{85}\p{Z}]+"
 PIPE = r"\|"
 TAB = r"\t"
 COMMA = ","

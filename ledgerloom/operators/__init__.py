@@ -24,7 +24,9 @@ from ledgerloom.operators.similarity import (
     item_similarity,
     item_title,
     pair_stats,
+    save_similarities,
     similar_items_lookup,
+    similar_items_stored,
     similar_items_topk,
     user_item_moments,
 )
@@ -51,7 +53,9 @@ __all__ = [
     "reduce_numbers",
     "require",
     "row_counts",
+    "save_similarities",
     "similar_items_lookup",
+    "similar_items_stored",
     "similar_items_topk",
     "split_words",
     "take_ordered",

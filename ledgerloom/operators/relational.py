@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, VariantType
 
 from ledgerloom.functions.cleaning import blank_to_null
 
@@ -35,20 +35,45 @@ def dedup_by_key(
     """One row per key: the smallest row, comparing all columns left to right, nulls first.
 
     The choice depends only on the data, so a re-run or a lost executor keeps the same row.
-    It is a ``min`` over the row as a struct: each map task keeps one row per key before the
-    shuffle, so a key that holds a third of the input sends one row per task.
-    Rows with a null key form one group, as ``dropDuplicates`` treats them.
+    It is a ``min`` over the other columns as a struct: each map task keeps one row per key before
+    the shuffle, so a key that holds a third of the input sends one row per task, and the key
+    travels once. Rows with a null key form one group, as ``dropDuplicates`` treats them.
+    Columns without an order of their own (maps, variants) compare by their JSON text.
 
     ``rules`` are applied to columns of the kept rows as part of the aggregation's result, so
     an expensive rule runs once per kept row even when a later filter looks at its column.
     """
     rules = rules or {}
-    kept = F.min(F.struct(*[F.col(name) for name in df.columns]))
+    # by place, so that no column name can clash or need quoting on the way
+    places = {name: f"key{i}" if name in keys else f"c{i}" for i, name in enumerate(df.columns)}
+    placed = df.toDF(*places.values())
+    others = [place for name, place in places.items() if name not in keys]
+    types = {place: field.dataType for place, field in zip(places.values(), df.schema.fields)}
+    ordered = [
+        F.to_json(F.struct(place)).alias(place) if _has_no_order(types[place]) else F.col(place)
+        for place in others
+    ]
+    grouped = placed.groupBy(*[places[name] for name in keys])
+    if not others:
+        kept = None
+    elif any(_has_no_order(types[place]) for place in others):
+        kept = F.min_by(F.struct(*others), F.struct(*ordered))
+    else:
+        kept = F.min(F.struct(*others))
     results = [
-        rules.get(name, lambda column: column)(kept[name]).alias(name) for name in df.columns
+        rules.get(name, lambda column: column)(F.col(place) if name in keys else kept[place]).alias(place + "r")
+        for name, place in places.items()
     ]
-    grouped = df.groupBy(*[F.col(name).alias(f"key of {name}") for name in keys])
-    return grouped.agg(*results).select(*df.columns)
+    chosen = grouped.agg(*results).select(*[place + "r" for place in places.values()])
+    return chosen.toDF(*df.columns)
+
+
+def _has_no_order(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_no_order(field.dataType) for field in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _has_no_order(kind.elementType)
+    return isinstance(kind, (MapType, VariantType))
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

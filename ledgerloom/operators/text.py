@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import BLANKS, NON_WORD
+from ledgerloom.functions.text import NON_WORD, UNICODE_BLANKS
 
 
-def split_words(lines: DataFrame, column: str = "value", separator: str = BLANKS) -> DataFrame:
+def split_words(lines: DataFrame, column: str = "value", separator: str = UNICODE_BLANKS) -> DataFrame:
     """One row ``word`` per non-empty piece of each line."""
     pieces = lines.select(F.explode(F.split(column, separator)).alias("word"))
     return pieces.where(F.col("word") != "")

@@ -9,17 +9,20 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType
+from pyspark.sql.types import DecimalType, FloatType, StringType
 
 from ledgerloom.functions import cleaning as rules
 from ledgerloom.functions.numeric import round_half_up
 from ledgerloom.operators.relational import dedup_by_key, fk_valid, require, row_counts
-from ledgerloom.sinks.tables import ensure_database, save_parquet, save_table
+from ledgerloom.sinks.tables import ensure_database, save_parquet, save_table, side_by_side
 
-# Amounts are exact decimals by default. "float" gives the 32-bit floats of the original
-# tables instead (their sums then depend on the order of addition).
-EXACT = "decimal(18,4)"
+# Amounts are exact decimals by default, of up to 28 digits and ten places. A well-formed amount
+# that does not fit fails the job. "float" gives the 32-bit floats of the original tables instead,
+# "double" 64-bit ones (their sums then depend on the order of addition).
+EXACT = "decimal(38,10)"
 PERCENT = "decimal(7,4)"
+# The column by which the stored sales are partitioned; it is not part of the returned table.
+SALES_MONTH = "sales_month"
 
 
 Rule = Callable[[Column], Column]
@@ -197,13 +200,13 @@ def sales_enriched(orders: DataFrame, customers: DataFrame, products: DataFrame)
     goods = products.select("product_id", "product_name", "category", "brand")
     joined = orders.join(buyers, "customer_id").join(goods, "product_id")
 
-    exact = isinstance(orders.schema["unit_price"].dataType, DecimalType)
-    if exact:
+    amounts = orders.schema["unit_price"].dataType
+    if isinstance(amounts, DecimalType):
         quantity, share = F.col("quantity"), F.col("discount_pct") * F.lit(Decimal("0.01"))
-        gross_type = "decimal(26,2)"
-    else:
-        quantity, share = F.col("quantity").cast("float"), F.col("discount_pct") / 100
-        gross_type = "float"
+        gross_type = "decimal(38,2)"
+    else:  # a float stays a float, a double a double
+        gross_type = "float" if isinstance(amounts, FloatType) else "double"
+        quantity, share = F.col("quantity").cast(gross_type), F.col("discount_pct") / 100
     sold = joined.select(
         "order_id",
         "order_date",
@@ -231,13 +234,15 @@ def sales_enriched(orders: DataFrame, customers: DataFrame, products: DataFrame)
     return discounted.withColumn("net_amount", net)
 
 
-def monthly_sales_summary(sales: DataFrame) -> DataFrame:
+def monthly_sales_summary(sales: DataFrame, unique_orders: bool = False) -> DataFrame:
     """Orders, units and amounts per month and category.
 
     Grouping is by the first day of the month, four bytes that need no text formatting per row;
     the ``yyyy-MM`` label is made once per group.
     The distinct order count is exact. Spark shuffles it by (month, category, order_id), so
     the busiest category is spread over all tasks; the sums combine map-side.
+    ``unique_orders`` states that no order_id repeats, as in the job's own sales: the orders are
+    then counted without telling them apart, and only one row per group and task is shuffled.
     """
 
     def total(column: str) -> Column:
@@ -245,7 +250,7 @@ def monthly_sales_summary(sales: DataFrame) -> DataFrame:
 
     month = F.trunc("order_date", "MM").alias("month")
     summary = sales.groupBy(month, "category").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        (F.count if unique_orders else F.countDistinct)("order_id").alias("total_orders"),
         F.sum("quantity").alias("total_units_sold"),
         F.round(total("gross_amount"), 2).alias("gross_revenue"),
         F.round(total("discount_amount"), 2).alias("total_discount"),
@@ -271,28 +276,39 @@ def curate_retail(
     Each table is computed once, written, and read back by whatever needs it, so the tables
     and their Parquet exports hold the same rows. Curated keys are unique, so the inner joins
     of the enrichment keep exactly the orders with valid keys, once each: the orders table is
-    a projection of the written sales and needs no join of its own.
+    a projection of the written sales and needs no join of its own, and the summary counts
+    orders without telling them apart. Sales are stored by month. Writes that do not wait for
+    each other run side by side.
     """
     ensure_database(spark, database, location)
+    cleaned = clean_orders(orders, amount_type)
 
-    def written(name: str, df: DataFrame) -> DataFrame:
-        return save_table(df, f"{database}.{name}")
+    def written(name: str, df: DataFrame, **layout) -> DataFrame:
+        table = save_table(df, f"{database}.{name}", **layout)
+        if export_folder:
+            save_parquet(table, f"{export_folder}/{name}")
+        return table
 
-    tables = {
-        "customers": written("customers", clean_customers(customers)),
-        "products": written("products", clean_products(products, amount_type)),
-    }
-    cleaned = clean_orders(orders, amount_type)
-    enriched = sales_enriched(cleaned, tables["customers"], tables["products"])
-    tables["sales_enriched"] = written("sales_enriched", enriched)
-    tables["orders"] = written("orders", _keys_first(tables["sales_enriched"], cleaned.columns))
-    summary = monthly_sales_summary(tables["sales_enriched"])
-    tables["monthly_sales_summary"] = written("monthly_sales_summary", summary)
+    def sales_table() -> DataFrame:
+        enriched = sales_enriched(cleaned, tables["customers"], tables["products"])
+        month = F.date_format("order_date", "yyyy-MM").alias(SALES_MONTH)
+        stored = save_table(enriched.select("*", month), f"{database}.sales_enriched", partition_by=[SALES_MONTH])
+        return stored.drop(SALES_MONTH)
 
+    tables = side_by_side(
+        customers=lambda: written("customers", clean_customers(customers)),
+        products=lambda: written("products", clean_products(products, amount_type)),
+    )
+    tables["sales_enriched"] = sales = sales_table()
+    summary = monthly_sales_summary(sales, unique_orders=True)
+    last = {
+        "orders": lambda: written("orders", _keys_first(sales, cleaned.columns)),
+        "monthly_sales_summary": lambda: written("monthly_sales_summary", summary),
+    }
     if export_folder:
-        for name, table in tables.items():
-            save_parquet(table, f"{export_folder}/{name}")
-    return tables
+        last["export"] = lambda: save_parquet(sales, f"{export_folder}/sales_enriched")
+    done = side_by_side(**last)
+    return tables | {name: done[name] for name in ("orders", "monthly_sales_summary")}
 
 
 def source_and_curated_counts(

@@ -4,6 +4,14 @@ from ledgerloom.sinks.tables import (
     read_back,
     save_parquet,
     save_table,
+    side_by_side,
 )
 
-__all__ = ["ensure_database", "new_scratch_folder", "read_back", "save_parquet", "save_table"]
+__all__ = [
+    "ensure_database",
+    "new_scratch_folder",
+    "read_back",
+    "save_parquet",
+    "save_table",
+    "side_by_side",
+]

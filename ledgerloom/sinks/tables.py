@@ -6,9 +6,11 @@ executor, starts from the files and sees the same rows in every copy.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,10 +20,58 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def save_table(df: DataFrame, table: str) -> DataFrame:
-    """Create or replace ``table`` (``database.name``) as Parquet."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def save_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Create or replace ``table`` (``database.name``) as Parquet.
+
+    The rows are written to a folder of their own beside the table's database first. Only when they
+    are complete does the table's name move to them, so that a write which fails leaves the earlier
+    table as it was, and readers see one or the other. The earlier files are then removed.
+    """
+    spark = df.sparkSession
+    database, name = table.rsplit(".", 1) if "." in table else ("default", table)
+    home = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1]
+    path = f"{home.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    before = _location(spark, table)
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    if before is None:
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts} LOCATION '{path}'")
+    elif _same_layout(spark, table, df, partition_by):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    else:  # the catalog cannot give a table another schema at once; only its name is gone meanwhile
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+    if before and before.rstrip("/").startswith(home.rstrip("/") + "/"):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(before)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.table(table)
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    row = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
+    return row.data_type if row else None
+
+
+def _same_layout(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str]) -> bool:
+    """Whether the table has these columns; a partitioned one keeps its own, and is made anew."""
+    return not partition_by and spark.table(table).dtypes == df.dtypes
+
+
+def side_by_side(**writes: Callable[[], DataFrame]) -> dict[str, DataFrame]:
+    """Run writes that do not depend on each other at once; their results by name.
+
+    All end before this returns; the first failure is raised.
+    """
+    same_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = {name: pool.submit(same_session(write)) for name, write in writes.items()}
+    return {name: task.result() for name, task in running.items()}
 
 
 def save_parquet(df: DataFrame, path: str) -> DataFrame:
@@ -36,14 +86,8 @@ def read_back(spark: SparkSession, table: str, order_by: str, rows: int = 10) ->
 
 
 def new_scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder under the shared one that ``spark.checkpoint.dir`` names.
-
-    A machine-local folder is used only where the setting is missing and Spark runs in this
-    process alone; on a cluster the setting is needed, since executors share no local disk.
-    """
+    """A fresh folder under the one that ``spark.checkpoint.dir`` names, which executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master").startswith("local"):
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return f"{shared.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"

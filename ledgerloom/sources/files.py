@@ -1,4 +1,7 @@
-"""Readers for CSV and delimited text. All are lazy; Spark splits the files over tasks."""
+"""Readers for CSV and delimited text. Spark splits the files over tasks.
+
+All are lazy but ``read_csv`` without a schema, which runs a job to infer one.
+"""
 
 from __future__ import annotations
 

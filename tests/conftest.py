@@ -35,9 +35,9 @@ def setting(spark):
 
 @pytest.fixture
 def folder(spark):
-    from ledgerloom.sinks import new_scratch_folder
+    from workload.queries import scratch_folder
 
-    return new_scratch_folder(spark)
+    return scratch_folder(spark)
 
 
 def rows(df):

@@ -139,3 +139,15 @@ def test_half_up(spark):
 def test_counts_add_up(spark):
     people = queries.count_by_age(spark, SMALL).agg(F.sum("count")).first()[0]
     assert people == spark.read.parquet(f"{SMALL}/customer.parquet").count()
+
+
+def test_averages_without_decimal_reading_stay(spark):
+    values = [("a", 1e31), ("b", float("nan")), ("c", float("inf")), ("d", None)]
+    found = dict(map(tuple, ops.average_by(spark.createDataFrame(values, "k string, v double"), "k", "v", "mean").collect()))
+    assert (found["a"], found["c"], found["d"]) == (1e31, float("inf"), None) and found["b"] != found["b"]
+
+
+def test_words_part_at_every_blank(spark):
+    text = "a b c d　\u0085e\x1ff\tg"
+    lines = spark.createDataFrame([(text,)], "value string")
+    assert [row.word for row in ops.word_lengths(lines).collect()] == text.split()

@@ -18,7 +18,7 @@ def applied(spark, rule, values, type_name="string"):
 
 
 def amount(comma):
-    return lambda value: rules.strip_amount(value, "decimal(18,4)", comma)
+    return lambda value: rules.strip_amount(value, "decimal(38,10)", comma)
 
 
 def decimals(*texts):

@@ -32,8 +32,8 @@ def test_scan_reads_only_the_columns_it_needs(spark):
     assert "ReadSchema: struct<c_name:string,c_nationkey:int>" in plan_text(
         queries.people_select(spark, SMALL)
     )
-    top = plan_text(queries.all_queries()["top_products"](spark, SMALL))
-    assert "o_totalprice" not in top and "c_acctbal" not in top
+    enriched = plan_text(queries.sales_enriched(spark, SMALL).select("product_id", "net_amount"))
+    assert "o_totalprice" not in enriched and "c_acctbal" not in enriched
 
 
 def test_filter_reaches_the_scan(spark):
@@ -48,6 +48,38 @@ def test_top_k_keeps_k_rows_per_task(spark):
         assert "TakeOrderedAndProject" in found, key
 
 
+REPORTS = ["top_products", "customer_ltv", "discount_by_payment", "return_rates", "row_count_validation"]
+
+
+@pytest.mark.parametrize("key", [*REPORTS, "revenue_by_category_month"])
+def test_reports_read_saved_tables(spark, key):
+    found = plan_text(queries.all_queries()[key](spark, SMALL))
+    assert "Join" not in found and "lineitem" not in found
+    if key == "revenue_by_category_month":
+        assert "Aggregate" not in found
+
+
+def test_summary_of_unique_orders_shuffles_groups_only(spark):
+    sales = queries.save_curated(spark, SMALL)["sales_enriched"]
+    assert plan_text(plans.monthly_sales_summary(sales)).count("Exchange") > plan_text(
+        plans.monthly_sales_summary(sales, unique_orders=True)
+    ).count("Exchange")
+
+
+def test_stored_similarities_prune_on_lookup(spark, folder, setting):
+    setting("spark.sql.shuffle.partitions", "16")
+    setting("spark.sql.adaptive.enabled", "false")
+    pairs = spark.range(0, 40000).selectExpr("id % 200 AS item1", "200 + id % 199 AS item2", "1.0D AS score", "20L AS num_pairs")
+    stored = ops.save_similarities(pairs, f"{folder}/similarities")
+    titles = spark.createDataFrame([], "item long, title string")
+    found = ops.similar_items_stored(stored, titles, 7, 0.5, 1, 5)
+    assert "EqualTo(item1,7)" in plan_text(found)
+    files = stored.where("item1 = 7").select(F.input_file_name()).distinct().count()
+    assert files == 1 and stored.select(F.input_file_name()).distinct().count() > 8
+    expected = ops.similar_items_topk(pairs, titles, 7, 0.5, 1, 5)
+    assert rows(found) == rows(expected)
+
+
 def test_dedup_combines_before_the_shuffle(spark):
     found = plan_text(queries.dedup_by_key(spark, SMALL))
     assert found.count("+- Exchange") == 1
@@ -205,6 +237,15 @@ def test_heavy_user_is_dealt_into_bounded_cells(spark):
     assert cells.where("user > 0 AND (low > 0 OR high > 0)").count() == 0
 
 
+def test_cells_stay_bounded_for_any_number_of_items(spark):
+    """600,000 items of one user: blocks of about 1,000, counted without forming a cell or a pair."""
+    moments = spark.range(600000).selectExpr("0 AS user", "id AS item", "1L AS n", "1.0D AS s", "1.0D AS ss")
+    dealt = _spread_heavy_users(moments, 1000)
+    blocks = dealt.where("low = block AND high = block").groupBy("block").count()
+    largest, number = blocks.agg(F.max("count"), F.count("*")).first()
+    assert number == 600 and largest < 1300
+
+
 def test_lookup_does_not_form_pairs_of_other_items(spark):
     """A user with 20,000 items costs 20,000 joined rows, not 200 million pairs."""
     one_user = spark.range(20000).selectExpr("1 AS u", "id AS i", "1.0D AS r")

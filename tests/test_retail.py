@@ -257,7 +257,9 @@ def test_whole_job(spark, folder):
     assert rows(tables["orders"]) == rows(valid)
     for name, table in tables.items():
         assert rows(spark.read.parquet(f"{folder}/exports/{name}")) == rows(table)
-        assert rows(spark.table(f"{database}.{name}")) == rows(table)
+        stored = spark.table(f"{database}.{name}")
+        assert rows(stored.select(*table.columns)) == rows(table)
+    assert rows(spark.table(f"{database}.sales_enriched").select("sales_month").distinct()) == [("2024-01",)]
 
     money = ["gross_amount", "discount_amount", "net_amount"]
     assert rows(tables["sales_enriched"].select("order_id", *money)) == [
@@ -321,6 +323,38 @@ def test_rounding_is_half_up_and_exact(spark):
     assert sales.first().discount_amount == Decimal("1.01")
 
 
+@pytest.mark.parametrize("amount", ["100000000000000", "100000000000000000000", "0.00004"])
+def test_large_and_small_amounts_survive(spark, amount):
+    cleaned = plans.clean_orders(orders(spark, {"unit_price": amount, "total_amount": amount, "quantity": "1"}))
+    row = cleaned.first()
+    assert (row.unit_price, row.total_amount) == (Decimal(amount), Decimal(amount))
+    goods = plans.clean_products(products(spark, {"price": amount, "cost": amount}))
+    assert (goods.first().price, goods.first().cost) == (Decimal(amount), Decimal(amount))
+    sold = plans.sales_enriched(cleaned, plans.clean_customers(customers(spark, {})), goods).first()
+    gross = Decimal(amount).quantize(Decimal("0.01"))
+    assert (sold.gross_amount, sold.net_amount) == (gross, gross - sold.discount_amount)
+
+
+def test_amount_that_cannot_be_held_raises(spark):
+    too_long = orders(spark, {"unit_price": "1" * 30})
+    with pytest.raises(Exception, match="amount does not fit"):
+        plans.clean_orders(too_long).collect()
+    assert plans.clean_orders(too_long, amount_type="double").first().unit_price == float("1" * 30)
+    assert plans.clean_orders(orders(spark, {"unit_price": "1.2.3"})).count() == 0
+
+
+def test_double_amounts_stay_double(spark):
+    cleaned = plans.clean_orders(
+        orders(spark, {"unit_price": "16777217.01", "quantity": "1", "discount_pct": "10"}), amount_type="double"
+    )
+    sales = plans.sales_enriched(
+        cleaned,
+        plans.clean_customers(customers(spark, {})),
+        plans.clean_products(products(spark, {}), amount_type="double"),
+    )
+    assert (sales.first().gross_amount, sales.first().net_amount) == (16777217.01, 15099495.31)
+
+
 def test_largest_amounts_do_not_overflow(spark):
     huge = {"quantity": "2147483647", "unit_price": "99999999999999.9999", "discount_pct": "99.9999"}
     sales = plans.sales_enriched(
@@ -332,3 +366,41 @@ def test_largest_amounts_do_not_overflow(spark):
     gross = (Decimal(2147483647) * Decimal("99999999999999.9999")).quantize(Decimal("0.01"))
     assert row.gross_amount == gross
     assert row.net_amount == gross - row.discount_amount
+
+
+def test_summary_of_unique_orders_is_the_same(spark):
+    orders_, customers_, products_ = queries.retail_frames(spark, SMALL)
+    sales = plans.sales_enriched(orders_, customers_, products_).withColumn("order_id", F.monotonically_increasing_id().cast("string"))
+    assert rows(plans.monthly_sales_summary(sales, unique_orders=True)) == rows(plans.monthly_sales_summary(sales))
+
+
+def test_dedup_takes_maps_and_any_name(spark):
+    df = spark.sql(
+        "SELECT 1 AS `a.b`, map('x', 2) AS m, 5 AS `key0` UNION ALL SELECT 1, map('x', 1), 7 UNION ALL SELECT 2, null, 1"
+    )
+    kept = dedup_by_key(df, ["a.b"])
+    assert kept.columns == df.columns and kept.dtypes == df.dtypes
+    assert sorted(map(tuple, kept.collect()), key=str) == [(1, {"x": 1}, 7), (2, None, 1)]
+    assert rows(dedup_by_key(df.select("`a.b`"), ["a.b"])) == [(1,), (2,)]
+
+
+def test_failed_write_keeps_the_earlier_table(spark, folder):
+    database = queries.database_name(folder)
+    sinks.ensure_database(spark, database, f"{folder}/tables")
+    sinks.save_table(spark.range(5), f"{database}.numbers")
+    failing = spark.range(0, 10, 1, 2).select(F.expr("IF(id = 9, raise_error('stop'), id)").cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.save_table(failing, f"{database}.numbers")
+    spark.catalog.refreshTable(f"{database}.numbers")
+    assert rows(spark.table(f"{database}.numbers")) == [(n,) for n in range(5)]
+    assert rows(sinks.save_table(spark.range(2), f"{database}.numbers")) == [(0,), (1,)]
+
+
+def test_scratch_folder_needs_the_shared_one(spark):
+    class Without:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.new_scratch_folder(Without)
+    assert sinks.new_scratch_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))

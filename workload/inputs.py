@@ -45,10 +45,12 @@ SELECT
        ELSE shipped END AS ship_date,
   CASE WHEN s % 41 = 6 THEN '-' ELSE '' END || units ||
     CASE WHEN k % 19 = 0 THEN '.5' ELSE ' pcs' END AS quantity,
-  CASE WHEN s % 67 = 4 THEN '1.2.3' ELSE '$' || {_marked('price')} END AS unit_price,
+  CASE WHEN s % 67 = 4 THEN '1.2.3' WHEN s % 73 = 8 THEN '100000000000000'
+       WHEN s % 79 = 9 THEN '0.00004' ELSE '$' || {_marked('price')} END AS unit_price,
   CASE WHEN s % 13 = 0 THEN '15' WHEN s % 17 = 0 THEN '-' ELSE '' END || percent || ' %'
     AS discount_pct,
-  CASE WHEN s % 71 = 9 THEN 'NA' ELSE 'USD ' || {_marked('total')} END AS total_amount,
+  CASE WHEN s % 71 = 9 THEN 'NA' WHEN s % 83 = 7 THEN '100,000,000,000,000,000,000'
+       ELSE 'USD ' || {_marked('total')} END AS total_amount,
   CASE n % 3 WHEN 0 THEN 'CARD' WHEN 1 THEN 'paypal' ELSE ' Cash' END AS payment_method,
   CASE flag WHEN 'R' THEN 'RETURNED' WHEN 'A' THEN 'cancelled ' ELSE 'Completed' END
     AS order_status
@@ -71,8 +73,8 @@ SELECT
   CASE WHEN p % 79 = 1 THEN 'n/a' WHEN p % 83 = 1 THEN '?' ELSE p_name END AS product_name,
   lower(p_type) || ' ' AS category,
   CASE WHEN n % 2 = 0 THEN upper(p_brand) ELSE p_brand END AS brand,
-  CASE WHEN p % 73 = 6 THEN '1,299.50' ELSE 'EUR ' || replace(price, '.', ',') END AS price,
-  CASE WHEN s % 997 = 1 THEN 'none' ELSE paid END AS cost,
+  CASE WHEN p % 73 = 6 THEN '1,299.50' WHEN p % 71 = 5 THEN '100000000000000000000' ELSE 'EUR ' || replace(price, '.', ',') END AS price,
+  CASE WHEN s % 997 = 1 THEN 'none' WHEN p % 61 = 3 THEN '0,00004' ELSE paid END AS cost,
   CASE WHEN s % 7 = 0 THEN '-' ELSE ' ' END || units || ' pcs' AS stock_quantity,
   CASE WHEN p % 9 = 0 THEN '0' ELSE size_text || ',5 kg' END AS weight_kg,
   CASE WHEN p % 67 = 8 THEN '01-05-2024' WHEN s % 2 = 0 THEN replace(shipped, '-', '/')
@@ -183,6 +185,25 @@ TITLES = """
 SELECT s_suppkey AS item, s_name AS title FROM {supplier}
 """
 
+# Blanks of several kinds part the words: no-break, em and ideographic spaces among them.
 LOG_LINES = """
-SELECT upper(event_type) || ': ' || props AS value FROM {events}
+SELECT upper(event_type) || ':\u00a0' || replace(props, ': ', ':\u2003') AS value FROM {events}
+"""
+
+SPACED_LINES = """
+SELECT replace(replace(replace(text, 'e ', 'e\u00a0'), 't ', 't\u2003'), 'n ', 'n\u3000 ') AS value
+FROM {conversations}
+"""
+
+READINGS = """
+SELECT 'S' || CAST(user_id AS STRING) AS station_id,
+       CAST(18000101 + event_id % 28 AS INT) AS date, event_type AS measure_type,
+       value AS temperature
+FROM {events}
+"""
+
+AMOUNTS = """
+SELECT CAST(o_custkey AS INT) AS customer_id, CAST(o_orderkey AS INT) AS order_id,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+FROM {orders}
 """

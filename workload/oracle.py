@@ -1,7 +1,7 @@
 """The registered queries again, as SQL for the oracle engine.
 
 Each text starts from the same input SQL and computes the operator on its own terms. Where
-the engines round differently, the oracle rounds through ``DECIMAL(28,8)``.
+the engines round differently, the oracle rounds the decimal reading as ``DECIMAL(28,8)``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,12 @@ def over_tables(sql: str) -> str:
 
 
 def round2(expression: str) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(28,8)), 2) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(28,8)), 2) AS DOUBLE)"
+
+
+def dbl(expression: str) -> str:
+    """A decimal as the nearest double; the plain cast of a wide one can miss it."""
+    return f"CAST(CAST({expression} AS VARCHAR) AS DOUBLE)"
 
 
 def _with(**parts: str) -> str:
@@ -79,7 +84,7 @@ def _dates(column: str, us_style: bool) -> str:
 
 def _number(column: str, comma: bool = False) -> str:
     text = f"replace({column}, ',', '.')" if comma else column
-    return f"TRY_CAST(regexp_replace({text}, '[^0-9.-]', '', 'g') AS DECIMAL(18,4))"
+    return f"TRY_CAST(regexp_replace({text}, '[^0-9.-]', '', 'g') AS DECIMAL(38,10))"
 
 
 def _integer(column: str) -> str:
@@ -126,12 +131,12 @@ ORDERS_CTES = {
     ),
 }
 
-SHOWN_ORDERS = """
+SHOWN_ORDERS = f"""
 SELECT order_id, customer_id, product_id, CAST(order_date AS VARCHAR) AS order_date,
-  CAST(ship_date AS VARCHAR) AS ship_date, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
-  CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(total_amount AS DOUBLE) AS total_amount,
+  CAST(ship_date AS VARCHAR) AS ship_date, quantity, {dbl('unit_price')} AS unit_price,
+  {dbl('discount_pct')} AS discount_pct, {dbl('total_amount')} AS total_amount,
   payment_method, order_status
-FROM {source}
+FROM {{source}}
 """
 
 CLEAN_PRODUCTS = rf"""
@@ -160,9 +165,9 @@ PRODUCTS_CTES = {
     ),
 }
 
-SHOWN_PRODUCTS = """
-SELECT product_id, product_name, category, brand, CAST(price AS DOUBLE) AS price,
-  CAST(cost AS DOUBLE) AS cost, stock_quantity, CAST(weight_kg AS DOUBLE) AS weight_kg,
+SHOWN_PRODUCTS = f"""
+SELECT product_id, product_name, category, brand, {dbl('price')} AS price,
+  {dbl('cost')} AS cost, stock_quantity, CAST(weight_kg AS DOUBLE) AS weight_kg,
   CAST(created_date AS VARCHAR) AS created_date, is_active
 FROM curated
 """
@@ -208,30 +213,30 @@ FROM {orders} AS o
 JOIN {customers} AS c ON o.customer_id = CAST(c.customer_id AS VARCHAR)
 JOIN {products} AS p ON o.product_id = p.product_id""",
         "reduced": """
-SELECT *, round(CAST(gross_amount AS DECIMAL(20,2)) * discount_pct * CAST(0.01 AS DECIMAL(3,2)), 2)
-    AS discount_amount FROM priced""",
+SELECT *, round(CAST(gross_amount AS DECIMAL(30,2)) * CAST(discount_pct AS DECIMAL(7,4))
+    * CAST(0.01 AS DECIMAL(2,2)), 2) AS discount_amount FROM priced""",
         "sales": "SELECT *, gross_amount - discount_amount AS net_amount FROM reduced",
         "monthly": f"""
 SELECT strftime(order_date, '%Y-%m') AS order_month, category,
   COUNT(DISTINCT order_id) AS total_orders,
   CAST(SUM(quantity) AS BIGINT) AS total_units_sold,
-  CAST(SUM(gross_amount) AS DOUBLE) AS gross_revenue,
-  CAST(SUM(discount_amount) AS DOUBLE) AS total_discount,
-  CAST(SUM(net_amount) AS DOUBLE) AS net_revenue,
-  {round2('CAST(SUM(net_amount) AS DOUBLE) / COUNT(net_amount)')} AS avg_order_value
+  {dbl('SUM(gross_amount)')} AS gross_revenue,
+  {dbl('SUM(discount_amount)')} AS total_discount,
+  {dbl('SUM(net_amount)')} AS net_revenue,
+  {round2(dbl('SUM(net_amount)') + ' / COUNT(net_amount)')} AS avg_order_value
 FROM sales GROUP BY order_month, category""",
     }
 
 
 SALES_CTES = RETAIL_CTES | _sales_ctes("retail_orders", "retail_customers", "retail_products")
 
-SHOWN_SALES = """
+SHOWN_SALES = f"""
 SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, CAST(ship_date AS VARCHAR) AS ship_date,
   customer_id, first_name, last_name, email, country, state, product_id, product_name, category,
-  brand, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
-  CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(total_amount AS DOUBLE) AS total_amount,
-  payment_method, order_status, CAST(gross_amount AS DOUBLE) AS gross_amount,
-  CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(net_amount AS DOUBLE) AS net_amount
+  brand, quantity, {dbl('unit_price')} AS unit_price,
+  {dbl('discount_pct')} AS discount_pct, {dbl('total_amount')} AS total_amount,
+  payment_method, order_status, {dbl('gross_amount')} AS gross_amount,
+  {dbl('discount_amount')} AS discount_amount, {dbl('net_amount')} AS net_amount
 FROM sales
 """
 
@@ -242,13 +247,13 @@ WHERE customer_id IN (SELECT CAST(customer_id AS VARCHAR) FROM retail_customers
 """
 
 TOP_PRODUCTS = f"""
-SELECT product_id, product_name, CAST(SUM(net_amount) AS DOUBLE) AS net_revenue
+SELECT product_id, product_name, {dbl('SUM(net_amount)')} AS net_revenue
 FROM sales GROUP BY product_id, product_name
 ORDER BY net_revenue DESC, product_id, product_name LIMIT {TOP_N}
 """
 
 CUSTOMER_LTV = f"""
-SELECT customer_id, first_name, last_name, CAST(SUM(net_amount) AS DOUBLE) AS lifetime_value,
+SELECT customer_id, first_name, last_name, {dbl('SUM(net_amount)')} AS lifetime_value,
   COUNT(DISTINCT order_id) AS total_orders
 FROM sales GROUP BY customer_id, first_name, last_name
 ORDER BY lifetime_value DESC, customer_id, first_name, last_name LIMIT {TOP_N}
@@ -256,8 +261,8 @@ ORDER BY lifetime_value DESC, customer_id, first_name, last_name LIMIT {TOP_N}
 
 DISCOUNT_BY_PAYMENT = f"""
 SELECT payment_method,
-  {round2('CAST(SUM(discount_pct) AS DOUBLE) / COUNT(discount_pct)')} AS avg_discount_pct,
-  CAST(SUM(net_amount) AS DOUBLE) AS net_revenue
+  {round2(dbl('SUM(discount_pct)') + ' / COUNT(discount_pct)')} AS avg_discount_pct,
+  {dbl('SUM(net_amount)')} AS net_revenue
 FROM sales GROUP BY payment_method
 """
 
@@ -280,8 +285,8 @@ def _counts(named: dict[str, str]) -> str:
     )
 
 
-def _curated_job() -> str:
-    """The three cleaning chains side by side, then keys, sales and summary."""
+def _curated_job() -> dict[str, str]:
+    """The three cleaning chains side by side, then keys, sales and summary; and what is shown of it."""
     ctes = {}
     for prefix, chain in (("o", ORDERS_CTES), ("p", PRODUCTS_CTES), ("c", CUSTOMERS_CTES)):
         for name, sql in chain.items():
@@ -303,7 +308,12 @@ WHERE customer_id IN (SELECT CAST(customer_id AS VARCHAR) FROM c_curated)
         "sales_enriched curated": "sales",
         "monthly_sales_summary curated": "monthly",
     }
-    return _with(**ctes) + _counts(counted)
+    shown = {
+        "curate_retail": _counts(counted),
+        "curated_sales": SHOWN_SALES,
+        "curated_monthly": "SELECT * FROM monthly",
+    }
+    return {key: _with(**ctes) + sql for key, sql in shown.items()}
 
 
 # --- similarity -------------------------------------------------------------------------
@@ -350,6 +360,10 @@ PEOPLE = _with(people=over_tables(inputs.PEOPLE))
 CUSTOMER_ORDERS = _with(sold=over_tables(inputs.CUSTOMER_ORDERS))
 
 
+# The characters at which a plain text split parts words.
+BLANKS = r"[\x09-\x0D\x1C-\x20\x{85}\p{Z}]+"
+
+
 def _words(source: str, column: str, separator: str) -> str:
     return (
         f"SELECT word FROM (SELECT unnest(regexp_split_to_array({column}, '{separator}')) AS word "
@@ -362,7 +376,7 @@ def all_oracles() -> dict[str, str]:
     customers, sales = _with(**CUSTOMERS_CTES), _with(**SALES_CTES)
     line_columns = (
         "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-        "l_returnflag l_linestatus"
+        "l_returnflag l_linestatus l_shipdate"
     ).split()
     details = "'Name: ' || name || ', Age: ' || CAST(age AS VARCHAR) AS details"
     # An empty CSV cell reads back as null.
@@ -380,7 +394,9 @@ def all_oracles() -> dict[str, str]:
         "clean_customers": customers + SHOWN_CUSTOMERS.format(source="curated"),
         "clean_null_tokens": _with(landing=over_tables(inputs.LANDING_ORDERS))
         + _trimmed("landing", ORDER_COLUMNS, ORDER_COLUMNS, ORDER_TOKENS),
-        "dedup_by_key": _smallest("lineitem", "l_orderkey", line_columns),
+        "dedup_by_key": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM ("
+        + _smallest("lineitem", "l_orderkey", line_columns)
+        + ")",
         "distinct_keys": "SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2",
         "fk_valid_orders": _with(**RETAIL_CTES, valid=FK_VALID) + SHOWN_ORDERS.format(source="valid"),
         "sales_enriched": sales + SHOWN_SALES,
@@ -401,9 +417,17 @@ def all_oracles() -> dict[str, str]:
                 "MONTHLY_SALES_SUMMARY": "monthly",
             }
         ),
-        "register_curated": _with(**RETAIL_CTES)
-        + "SELECT COUNT(*) AS orders_curated_rows FROM retail_orders",
-        "curate_retail": _curated_job(),
+        "register_curated": sales
+        + _counts(
+            {
+                "orders_curated": "retail_orders",
+                "products_curated": "retail_products",
+                "customers_curated": "retail_customers",
+                "sales_enriched": "sales",
+                "monthly_sales_summary": "monthly",
+            }
+        ),
+        **_curated_job(),
         "pair_stats": _with(**PAIR_CTES) + "SELECT * FROM pairs",
         "item_similarity": _with(**PAIR_CTES) + "SELECT * FROM scored",
         "item_similarity_dedup": _with(**(PAIR_CTES | {"rated": ONCE_RATED}))
@@ -419,10 +443,10 @@ def all_oracles() -> dict[str, str]:
         "word_count": "SELECT lower(word) AS word, COUNT(*) AS count FROM "
         f"({_words('documents', 'text', chr(92) + 'W+')}) GROUP BY lower(word)",
         "word_lengths": "SELECT word, CAST(length(word) AS INTEGER) AS length FROM "
-        f"({_words('conversations', 'text', '[ ' + chr(92) + 't' + chr(92) + 'n]+')})",
+        f"({_words('(' + over_tables(inputs.SPACED_LINES) + ')', 'value', BLANKS)})",
         "error_words": _with(lines=over_tables(inputs.LOG_LINES))
         + "SELECT upper(word) AS word FROM "
-        f"({_words('(SELECT * FROM lines WHERE value LIKE ' + repr('ERROR%') + ')', 'value', ' +')})",
+        f"({_words('(SELECT * FROM lines WHERE value LIKE ' + repr('ERROR%') + ')', 'value', BLANKS)})",
         "people_select": PEOPLE + "SELECT name, age FROM people",
         "people_filter": PEOPLE + "SELECT * FROM people WHERE age > 25",
         "adults_sql": PEOPLE + "SELECT * FROM people WHERE age >= 18",
@@ -459,6 +483,10 @@ def all_oracles() -> dict[str, str]:
         "src_csv_infer": PEOPLE + "SELECT CAST(id AS INTEGER) AS id, name, age, friends FROM people",
         "src_csv_headerless": CUSTOMER_ORDERS
         + "SELECT customer_id, order_id, CAST(order_price AS DOUBLE) AS order_price FROM sold",
+        "src_csv_weather": f"SELECT * REPLACE (CAST(CAST(temperature AS FLOAT) AS DOUBLE) AS temperature) "
+        f"FROM ({over_tables(inputs.READINGS)})",
+        "src_csv_amounts": f"SELECT * REPLACE (CAST(CAST(amount AS FLOAT) AS DOUBLE) AS amount) "
+        f"FROM ({over_tables(inputs.AMOUNTS)})",
         "src_csv_quoted": "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name FROM part",
         "src_text_delimited": "SELECT CAST(p_partkey AS INTEGER) AS item, p_name AS title FROM part",
         "src_text_ratings": _with(rated=over_tables(inputs.RATINGS))
@@ -466,5 +494,6 @@ def all_oracles() -> dict[str, str]:
         "rating, CAST(881250949 AS BIGINT) AS timestamp FROM rated",
         "src_text_people": PEOPLE + "SELECT CAST(id AS INTEGER) AS id, name, age, friends FROM people",
         "sink_parquet_readback": "SELECT * FROM part",
+        "sink_table_rows": "SELECT * FROM part",
         "sink_table_readback": f"SELECT * FROM part ORDER BY p_partkey LIMIT {TOP_N}",
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from string import Formatter
 
@@ -68,8 +69,8 @@ def clean_null_tokens(spark, folder):
 
 
 def dedup_by_key(spark, folder):
-    lines = table(spark, folder, "lineitem").drop("l_shipdate")
-    return ops.dedup_by_key(lines, ["l_orderkey"])
+    kept = ops.dedup_by_key(table(spark, folder, "lineitem"), ["l_orderkey"])
+    return kept.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
 def distinct_keys(spark, folder):
@@ -106,17 +107,33 @@ def monthly_sales_summary(spark, folder):
     return plans.monthly_sales_summary(_sales(spark, folder))
 
 
-def _registered(spark, folder):
+# The saved curated tables of a session, by data folder: saved once, read by every report.
+_SAVED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def save_curated(spark, folder) -> dict[str, DataFrame]:
+    """The five curated tables over the given tables, written and read back."""
     orders, customers, products = retail_frames(spark, folder)
-    sales = plans.sales_enriched(orders, customers, products)
-    curated = {
-        "orders": orders,
-        "products": products,
-        "customers": customers,
-        "sales_enriched": sales,
-        "monthly_sales_summary": plans.monthly_sales_summary(sales),
-    }
-    sources.register_curated(spark, curated)
+    scratch = scratch_folder(spark)
+
+    def saved(name: str, df: DataFrame) -> DataFrame:
+        return sinks.save_parquet(df, f"{scratch}/{name}")
+
+    tables = sinks.side_by_side(
+        orders=lambda: saved("orders", orders),
+        products=lambda: saved("products", products),
+        customers=lambda: saved("customers", customers),
+        sales_enriched=lambda: saved("sales", plans.sales_enriched(orders, customers, products)),
+    )
+    monthly = plans.monthly_sales_summary(tables["sales_enriched"])
+    return tables | {"monthly_sales_summary": saved("monthly", monthly)}
+
+
+def _registered(spark, folder):
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _SAVED:
+        _SAVED[key] = save_curated(spark, folder)
+    return sources.register_curated(spark, _SAVED[key])
 
 
 def _question(name: str) -> Query:
@@ -128,13 +145,15 @@ def _question(name: str) -> Query:
 
 
 def register_curated(spark, folder):
-    _registered(spark, folder)
-    return spark.sql("SELECT COUNT(*) AS orders_curated_rows FROM orders_curated")
+    """The names that were registered, each with the rows behind it."""
+    names = _registered(spark, folder)
+    counts = ops.row_counts({view: spark.table(view) for view in sources.CURATED_VIEWS.values()})
+    return names.join(counts, "table_name", "left")
 
 
-def curate_retail(spark, folder):
-    """Landing CSV files -> curated tables and exports -> counts before and after."""
-    scratch = sinks.new_scratch_folder(spark)
+def _curated(spark, folder):
+    """Landing CSV files -> curated tables and exports; what landed and what was written."""
+    scratch = scratch_folder(spark)
     read = {
         "orders": (inputs.LANDING_ORDERS, sources.read_orders_landing),
         "products": (inputs.LANDING_PRODUCTS, sources.read_products_landing),
@@ -151,7 +170,22 @@ def curate_retail(spark, folder):
         location=f"{scratch}/tables",
         export_folder=f"{scratch}/exports",
     )
-    return plans.source_and_curated_counts(landed, curated)
+    return landed, curated
+
+
+def curate_retail(spark, folder):
+    """The whole job, counted before and after."""
+    return plans.source_and_curated_counts(*_curated(spark, folder))
+
+
+def curated_sales(spark, folder):
+    """The whole job's enriched sales, as written."""
+    return plain(_curated(spark, folder)[1]["sales_enriched"])
+
+
+def curated_monthly(spark, folder):
+    """The whole job's monthly summary, as written."""
+    return _curated(spark, folder)[1]["monthly_sales_summary"]
 
 
 # --- similarity -------------------------------------------------------------------------
@@ -174,10 +208,10 @@ def item_similarity_dedup(spark, folder):
 def similar_items_topk(spark, folder):
     """The stored form: similarities are written once, then looked up."""
     ratings = frame(spark, folder, inputs.RATINGS)
-    path = f"{sinks.new_scratch_folder(spark)}/similarities"
-    stored = sinks.save_parquet(ops.item_similarity(ratings, **RATED_BY), path)
+    path = f"{scratch_folder(spark)}/similarities"
+    stored = ops.save_similarities(ops.item_similarity(ratings, **RATED_BY), path)
     titles = frame(spark, folder, inputs.TITLES)
-    return ops.similar_items_topk(stored, titles, SIMILAR_TO, MIN_SCORE, MIN_PAIRS, TOP_N)
+    return ops.similar_items_stored(stored, titles, SIMILAR_TO, MIN_SCORE, MIN_PAIRS, TOP_N)
 
 
 def similar_items_lookup(spark, folder):
@@ -211,7 +245,7 @@ def word_count(spark, folder):
 
 
 def word_lengths(spark, folder):
-    return ops.word_lengths(table(spark, folder, "conversations"), "text")
+    return ops.word_lengths(frame(spark, folder, inputs.SPACED_LINES))
 
 
 def error_words(spark, folder):
@@ -324,14 +358,22 @@ def database_name(scratch: str) -> str:
     return "curated_" + scratch.rsplit("-", 1)[-1].replace(".", "_").lower()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh scratch folder; a run in one process without a shared folder gets one of its own."""
+    master = spark.sparkContext.master
+    if not spark.conf.get("spark.checkpoint.dir", None) and (master == "local" or master.startswith("local[")):
+        return "file://" + tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return sinks.new_scratch_folder(spark)
+
+
 def _csv_round_trip(spark, df, read, header=True, sep=","):
-    path = f"{sinks.new_scratch_folder(spark)}/csv"
+    path = f"{scratch_folder(spark)}/csv"
     write_csv(df, path, header, sep)
     return read(spark, path)
 
 
 def _text_round_trip(spark, values, read):
-    path = f"{sinks.new_scratch_folder(spark)}/text"
+    path = f"{scratch_folder(spark)}/text"
     values.write.mode("overwrite").text(path)
     return read(spark, path)
 
@@ -356,6 +398,16 @@ def src_csv_headerless(spark, folder):
     return _csv_round_trip(spark, orders, sources.read_customer_payments, header=False)
 
 
+def src_csv_weather(spark, folder):
+    readings = frame(spark, folder, inputs.READINGS)
+    return plain(_csv_round_trip(spark, readings, sources.read_weather, header=False))
+
+
+def src_csv_amounts(spark, folder):
+    orders = frame(spark, folder, inputs.AMOUNTS)
+    return plain(_csv_round_trip(spark, orders, sources.read_customer_amounts, header=False))
+
+
 def src_csv_quoted(spark, folder):
     parts = table(spark, folder, "part").select("p_partkey", "p_name")
     return _csv_round_trip(spark, parts, sources.read_node_names, header=False, sep=" ")
@@ -383,18 +435,26 @@ def src_text_people(spark, folder):
 
 
 def sink_parquet_readback(spark, folder):
-    path = f"{sinks.new_scratch_folder(spark)}/part"
+    path = f"{scratch_folder(spark)}/part"
     return sinks.save_parquet(table(spark, folder, "part"), path)
 
 
 def sink_table_readback(spark, folder):
-    scratch = sinks.new_scratch_folder(spark)
+    scratch = scratch_folder(spark)
     database = database_name(scratch)
     sinks.ensure_database(spark, database, f"{scratch}/tables")
     sinks.save_table(table(spark, folder, "part"), f"{database}.part")
     return sinks.read_back(spark, f"{database}.part", "p_partkey")
 
 
+def sink_table_rows(spark, folder):
+    """All rows of a written table."""
+    scratch = scratch_folder(spark)
+    database = database_name(scratch)
+    sinks.ensure_database(spark, database, f"{scratch}/tables")
+    return sinks.save_table(table(spark, folder, "part"), f"{database}.part")
+
+
 def all_queries() -> dict[str, Query]:
     listed = [
         clean_orders,
@@ -408,6 +468,8 @@ def all_queries() -> dict[str, Query]:
         monthly_sales_summary,
         register_curated,
         curate_retail,
+        curated_sales,
+        curated_monthly,
         pair_stats,
         item_similarity,
         item_similarity_dedup,
@@ -442,12 +504,15 @@ def all_queries() -> dict[str, Query]:
         src_csv_typed,
         src_csv_infer,
         src_csv_headerless,
+        src_csv_weather,
+        src_csv_amounts,
         src_csv_quoted,
         src_text_delimited,
         src_text_ratings,
         src_text_people,
         sink_parquet_readback,
         sink_table_readback,
+        sink_table_rows,
     ]
     named = {query.__name__: query for query in listed}
     return named | {name: _question(name) for name in plans.ANALYTICS}
