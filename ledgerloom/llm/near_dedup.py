@@ -37,6 +37,8 @@ MIN_OVERLAP = 2
 # The estimate's deviation at 0.75 is 0.054: pairs below this are 4.6 deviations away.
 ESTIMATE_FLOOR = 0.5
 STAR_ROUNDS = 1
+# So many common values (8 MB) are at hand in every task; more are marked by a join.
+AT_HAND = 1_000_000
 PERCENT = 75
 
 SKETCHED = "doc_id long, n_shingles long, digest binary, sketch binary, values array<long>"
@@ -232,22 +234,52 @@ def links_among_common(sets: DataFrame, chosen: DataFrame, links: DataFrame) ->
     return links
 
 
-def near_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b: links that join all linked ``nodes`` (node, n, sketch, values), one per shingle set."""
+def marked_values(nodes: DataFrame) -> DataFrame:
+    """node, n, common (how many of its retained values are), rare (the first ``LISTED`` that are not)."""
     retained = nodes.select("node", "n", F.posexplode("values").alias("at", "value"))
-    common = (
-        retained.groupBy("value").agg(F.count("*").alias("df")).filter(F.col("df") > COMMON).select("value", F.lit(True).alias("is_common"))
+    common = stored(
+        retained.groupBy("value").agg(F.count("*").alias("df")).filter(F.col("df") > COMMON).select("value"), "common-values"
     )
-    marked = (
-        retained.join(common, "value", "left")
-        .groupBy("node", "n")
-        .agg(
-            F.count("is_common").alias("common"),
-            F.sort_array(F.collect_list(F.when(F.col("is_common").isNull(), F.struct("at", "value")))).alias("rare"),
-        )
-    )
-    marked = stored(marked.select("node", "n", "common", F.slice("rare", 1, LISTED).alias("rare")), "marked")
-    lists = marked.select("node", "n", F.explode("rare.value").alias("value"))
+    if common.limit(AT_HAND + 1).count() <= AT_HAND:
+        found = np.sort(np.array([row.value for row in common.collect()], np.int64))
+        return _marked_by_array(nodes, found)
+    with_flag = retained.join(common.withColumn("is_common", F.lit(True)), "value", "left")
+    rare = F.sort_array(F.collect_list(F.when(F.col("is_common").isNull(), F.struct("at", "value"))))
+    marked = with_flag.groupBy("node", "n").agg(F.count("is_common").alias("common"), rare.alias("rare"))
+    return marked.select("node", "n", "common", F.slice(F.col("rare.value"), 1, LISTED).alias("rare"))
+
+
+def is_in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(x), bool)
+    place = np.searchsorted(sorted_values, x)
+    return sorted_values[np.minimum(place, len(sorted_values) - 1)] == x
+
+
+def _marked_by_array(nodes: DataFrame, common: np.ndarray) -> DataFrame:
+    """The same without a shuffle, where the common values are few enough to be at hand."""
+    shared = nodes.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            flags = [is_in(shared.value, x) for x in values]
+            yield pa.record_batch(
+                [
+                    *batch.columns[:2],
+                    pa.array([int(f.sum()) for f in flags], pa.int64()),
+                    pa.array([x[~f][:LISTED] for x, f in zip(values, flags)], pa.list_(pa.int64())),
+                ],
+                names=["node", "n", "common", "rare"],
+            )
+
+    return nodes.select("node", "n", "sketch").mapInArrow(run, "node long, n long, common long, rare array<long>")
+
+
+def near_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b: links that join all linked ``nodes`` (node, n, sketch, values), one per shingle set."""
+    marked = stored(marked_values(nodes), "marked")
+    lists = marked.select("node", "n", F.explode("rare").alias("value"))
     other = lists.select(F.col("node").alias("x"), F.col("n").alias("x_n"), "value")
     overlaps = (
         lists.join(other, "value")

@@ -119,8 +119,10 @@ def near_rows():
     return rows
 
 
-def test_near_duplicates_match_brute_force(clashing, monkeypatch):
+@pytest.mark.parametrize("at_hand", [0, 1_000_000])
+def test_near_duplicates_match_brute_force(clashing, monkeypatch, at_hand):
     monkeypatch.setattr(near_dedup, "COMMON", 8)  # so that the small table has common values
+    monkeypatch.setattr(near_dedup, "AT_HAND", at_hand)
     rows = near_rows()
     assert near_found(clashing(*rows).repartition(5)) == near_brute(rows)
 
