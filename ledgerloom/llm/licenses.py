@@ -99,9 +99,15 @@ def license_matches(docs: DataFrame, templates: DataFrame, bands: int = BANDS) -
     known = template_words(templates)
     parts = []
     body = lower_ascii(F.col("text"))
-    may_match = reduce(lambda a, b: a | b, [F.contains(body, F.lit(a)) for a in anchors(known)], F.lit(False))
+    # every shingle of a template has an anchor word: only texts with one, and only windows around
+    # one, can match
+    held = anchors(known)
+    may_match = reduce(lambda a, b: a | b, [F.contains(body, F.lit(a)) for a in held], F.lit(False))
     words = F.filter(words_of(F.col("text")), lambda word: word != "")
-    rows = stored(docs.filter(may_match).select("doc_id", words.alias("words")), "license-words")
+    is_anchor = lambda word: word.isin(held)
+    places = F.filter(F.transform("words", lambda word, i: F.when(is_anchor(word), i + 1)), lambda p: p.isNotNull())
+    rows = docs.filter(may_match).select("doc_id", words.alias("words")).select("doc_id", "words", places.alias("places"))
+    rows = stored(rows.filter(F.size("places") > 0), "license-words")
     for length in sorted({len(words) for _, words in known}):
         own = [(license_, words) for license_, words in known if len(words) == length]
         parts.append(_scan(spark, rows, own, length, bands))
@@ -121,7 +127,11 @@ def _scan(spark: SparkSession, rows: DataFrame, templates: list, length: int, ba
         "license", shingles_of(F.col("words"), size).alias("wanted")
     )
     all_shingles = sorted({" ".join(w[i : i + size]) for _, w in templates for i in range(length - size + 1)})
-    starts = F.sequence(F.lit(1), F.size("words"), F.lit(step))
+    # windows begin at every ``step`` words; these reach over the place
+    first = lambda place: F.greatest(F.lit(0), F.ceil((place - (length + step)) / step).cast("int"))
+    last = lambda place: F.floor((place - 1) / step).cast("int")
+    around = F.transform("places", lambda p: F.transform(F.sequence(first(p), last(p)), lambda k: k * step + 1))
+    starts = F.array_distinct(F.flatten(around))
     # windows are cut inside the row: each then travels without the document's other words
     cut = F.transform(
         starts,
