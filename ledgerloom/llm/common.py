@@ -6,6 +6,7 @@ the others along, so extra columns, whatever their names, neither clash nor chan
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -35,10 +36,19 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and its lineage is cut."""
-    path = scratch_folder(df.sparkSession, name)
+    """``df`` written to the shared folder and read back: computed once, and its lineage is cut.
+
+    What it was computed from is needed no more. Spark deletes the shuffle files of frames that are
+    gone when the driver collects its garbage, so that is asked for here: a job of many steps then
+    holds the files of one step at a time.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def lower_ascii(text: Column) -> Column:

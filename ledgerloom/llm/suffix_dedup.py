@@ -131,11 +131,12 @@ def suffix_array(docs: DataFrame) -> DataFrame:
 SCANNED = "kind string, fp long, around long, key long, pos int, right int"
 
 
-def scan(entries: DataFrame, levels: list[DataFrame]) -> DataFrame:
+def scan(entries: DataFrame, levels: list[DataFrame], keep: bool = True) -> DataFrame:
     """The batch's array and the levels, merged by hash and read in order.
 
     kind is ``repeat`` (an earlier entry has the same surroundings), ``new`` (the first with them, of
-    the batch) or ``open`` (one of several surroundings of an anchor, the batch's among them).
+    the batch; only to ``keep`` it) or ``open`` (one of several surroundings of an anchor, the
+    batch's among them).
     """
     rows = entries.select(*[c.split()[0] for c in ENTRY.split(", ")[:-1]], "repeat", F.lit(True).alias("fresh"))
     for level in levels:
@@ -149,7 +150,7 @@ def scan(entries: DataFrame, levels: list[DataFrame]) -> DataFrame:
             group = np.cumsum(~same_fp) - 1
             kinds = np.bincount(group, ~same)
             is_open = ~same & ((kinds > 1) & (np.bincount(group, fresh & ~same) > 0))[group]
-            for kind, chosen in (("repeat", same & fresh), ("new", ~same & fresh), ("open", is_open)):
+            for kind, chosen in (("repeat", same & fresh), ("new", ~same & fresh & keep), ("open", is_open)):
                 if chosen.any():
                     yield pa.record_batch(
                         [pa.array([kind] * int(chosen.sum())), *(pa.array(t[n][chosen]) for n in ("fp", "around", "key", "pos", "right"))],
@@ -190,7 +191,7 @@ class SuffixLevels:
 
     def add(self, docs: DataFrame, keep: bool = True) -> DataFrame:
         """Scan a batch (key, text) against the levels and, to ``keep`` it, make it one."""
-        scanned = stored(scan(suffix_array(docs), [level for _, level in self.levels]), "scanned")
+        scanned = stored(scan(suffix_array(docs), [level for _, level in self.levels], keep), "scanned")
         if keep:
             columns = [c.split()[0] for c in SCANNED.split(", ")[1:]]
             self.levels.append((1, scanned.filter("kind = 'new'").select(*columns)))
@@ -354,7 +355,7 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
         "key", F.greatest(F.col("pos") - BEFORE, F.lit(0)).alias("start"), (F.col("pos") + F.col("right")).alias("end")
     )
     spans = same.unionByName(open_repeats(keyed, places))
-    by_key = spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    by_key = stored(spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
