@@ -1,18 +1,19 @@
 """Licence scans: MinHash bands over overlapping text windows, then exact containment.
 
 Templates of one length are sought in windows of one and a half times that length, which begin at
-every half length, so that each occurrence lies whole in some window. A window and a template that
-share a band are compared by their shingles. All of it is DataFrame operations.
+every half length, so that each occurrence lies whole in some window. Every shingle of every document
+is joined by its hash with the templates' shingles; what meets is gathered by window. A window and a
+template that share a band are compared by their shingles. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import lower_ascii, stored
+from ledgerloom.llm.common import stored
 from ledgerloom.llm.decontaminate import words_of
 
 SHINGLE = 5
@@ -20,8 +21,10 @@ CONTAINMENT = 0.75
 # One row in a band. A window with a whole template has at least a third of its shingles in common
 # with it, and with three quarters of a template about as many: (2/3) ** 48 < 1e-8 of them are missed.
 BANDS = 48
-MAX_TEMPLATES = 2000
-MAX_TEMPLATE_WORDS = 4096
+# With more shingles than this in all templates, Spark chooses how to join them.
+BROADCAST_SHINGLES = 1_000_000
+# Whole licence texts, each file named by its licence.
+TEXTS = Path(__file__).parent / "license_texts"
 
 # Notices of public licences.
 TEMPLATES = [
@@ -39,20 +42,31 @@ TEMPLATES = [
 
 
 def default_templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEMPLATES, "license string, text string")
+    """The notices and the whole licence texts of this package."""
+    whole = [(file.stem, file.read_text(encoding="utf-8")) for file in sorted(TEXTS.glob("*.txt"))]
+    return spark.createDataFrame(TEMPLATES + whole, "license string, text string")
 
 
-def shingles_of(words: Column, size: int) -> Column:
-    """The distinct shingles of an array of words; none if it has fewer than ``size``."""
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " ")))
-
+def shingle_prints(texts: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
+    """keys, pos, size, print: the hash of every shingle of each of ``sizes`` words (a column words).
 
-def min_hashes(shingles: Column, bands: int) -> Column:
+    ``pos`` is the place of its first word, from 0; texts of fewer words than ``size`` have none.
+    """
+    ahead = [f"w{k}" for k in range(max(sizes))]
+    shifted = [F.slice("words", k + 1, F.size("words")).alias(name) for k, name in enumerate(ahead)]
+    grams = texts.select(*keys, *shifted).select(*keys, F.posexplode(F.arrays_zip(*ahead)).alias("pos", "w"))
+    prints = [
+        F.when(F.col(f"w.w{size - 1}").isNotNull(), F.struct(
+            F.lit(size).alias("size"), F.xxhash64(*(F.col(f"w.{name}") for name in ahead[:size])).alias("print")
+        ))
+        for size in sizes
+    ]
+    found = grams.select(*keys, "pos", F.explode(F.array(*prints)).alias("s")).filter(F.col("s").isNotNull())
+    return found.select(*keys, "pos", "s.size", "s.print")
+
+
+def min_hashes(prints: Column, bands: int) -> Column:
     """For each band the least value of its hash function over the shingles."""
-    prints = F.transform(shingles, lambda s: F.xxhash64(s))
     return F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda band: F.array_min(F.transform(prints, lambda p: F.xxhash64(p, band))),
@@ -60,7 +74,10 @@ def min_hashes(shingles: Column, bands: int) -> Column:
 
 
 def anchors(templates: list[tuple[str, list[str]]]) -> list[str]:
-    """Words of which every shingle of every template has one; so has any text that matches."""
+    """Words of which every shingle of every template has one; so has any text that matches.
+
+    The scan itself looks for whole shingles.
+    """
     open_shingles = []
     for _, words in templates:
         size = min(SHINGLE, len(words))
@@ -74,77 +91,67 @@ def anchors(templates: list[tuple[str, list[str]]]) -> list[str]:
     return chosen
 
 
-def template_words(templates: DataFrame) -> list[tuple[str, list[str]]]:
-    """license and words of each template that has any; raises beyond the documented sizes."""
+def template_shingles(templates: DataFrame) -> DataFrame:
+    """template, license, length, size, wanted: the distinct shingles of each template that has words."""
     words = F.filter(words_of(F.col("text")), lambda word: word != "")
     rows = templates.select("license", words.alias("words")).filter(F.size("words") > 0).distinct()
-    found = [(row.license, row.words) for row in rows.limit(MAX_TEMPLATES + 1).collect()]
-    if len(found) > MAX_TEMPLATES or any(len(words) > MAX_TEMPLATE_WORDS for _, words in found):
-        raise ValueError(f"more than {MAX_TEMPLATES} templates, or one of more than {MAX_TEMPLATE_WORDS} words")
-    return sorted(found, key=str)
+    length = F.size("words")
+    rows = rows.select(
+        F.xxhash64("license", "words").alias("template"), "license", length.alias("length"),
+        F.least(length, F.lit(SHINGLE)).alias("own"), "words",
+    )
+    prints = shingle_prints(rows, ["template", "license", "length", "own"], list(range(1, SHINGLE + 1)))
+    own = prints.filter(F.col("size") == F.col("own"))
+    return own.groupBy("template", "license", "length", "size").agg(F.collect_set("print").alias("wanted"))
 
 
 def license_matches(docs: DataFrame, templates: DataFrame, bands: int = BANDS) -> DataFrame:
     """doc_id, license, containment, windows: what each document has, one row per licence.
 
     A template matches a window that has at least three quarters of its distinct shingles of five
-    words (of all words, if it has fewer). containment is the largest over windows and templates of
-    a licence, windows how many windows match. A-Z are lower-cased, words are letters and digits.
-    Null, empty and wordless texts match nothing; documents without matches have no row. Very long
-    texts are read whole. Rows of one doc_id are taken together; a null doc_id is an id as others.
-    Without templates nothing matches. The templates, at most ``MAX_TEMPLATES``, are a table of the
-    scan's own and so are named in its plan; the documents are never gathered.
+    words (of all words, if it has fewer), shingles being told apart by hashes of 64 bits.
+    containment is the largest over windows and templates of a licence, windows how many windows
+    match. A-Z are lower-cased, words are letters and digits. Null, empty and wordless texts match
+    nothing; documents without matches have no row. Very long texts are read whole, and so are
+    templates, of any length and number. Rows of one doc_id are taken together, equal ones once; a
+    null doc_id is an id as others. Without templates nothing matches.
     """
     spark = docs.sparkSession
-    known = template_words(templates)
-    parts = []
-    body = lower_ascii(F.col("text"))
-    # every shingle of a template has an anchor word: only texts with one, and only windows around
-    # one, can match
-    held = anchors(known)
-    may_match = reduce(lambda a, b: a | b, [F.contains(body, F.lit(a)) for a in held], F.lit(False))
-    words = F.filter(words_of(F.col("text")), lambda word: word != "")
-    is_anchor = lambda word: word.isin(held)
-    places = F.filter(F.transform("words", lambda word, i: F.when(is_anchor(word), i + 1)), lambda p: p.isNotNull())
-    rows = docs.filter(may_match).select("doc_id", words.alias("words")).select("doc_id", "words", places.alias("places"))
-    rows = stored(rows.filter(F.size("places") > 0), "license-words")
-    for length in sorted({len(words) for _, words in known}):
-        own = [(license_, words) for license_, words in known if len(words) == length]
-        parts.append(_scan(spark, rows, own, length, bands))
-    if not parts:
+    known = stored(template_shingles(templates), "license-templates")
+    totals = known.agg(F.sort_array(F.collect_set("size")).alias("sizes"), F.sum(F.size("wanted")).alias("n")).first()
+    if not totals.sizes:
         return spark.createDataFrame([], "doc_id long, license string, containment double, windows long")
+    at_hand = F.broadcast if totals.n <= BROADCAST_SHINGLES else lambda df: df
+    words = F.filter(words_of(F.col("text")), lambda word: word != "")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), words.alias("words"))
+    prints = shingle_prints(rows, ["doc_id", "row"], totals.sizes)
+    wanted = known.select("length", "size", F.explode("wanted").alias("print")).distinct()
+    # a shingle of no template adds to no containment
+    hits = prints.join(at_hand(wanted), ["size", "print"])
+    # windows begin at every ``step`` words; these have the whole shingle
+    step = F.greatest(F.lit(1), F.floor(F.col("length") / 2))
+    reach = F.col("length") + step - F.col("size")
+    first, last = F.greatest(F.lit(0), F.ceil((F.col("pos") - reach) / step)), F.floor(F.col("pos") / step)
+    windows = (
+        hits.withColumn("window", F.explode(F.sequence(first, last)))
+        .groupBy("doc_id", "row", "length", "window")
+        .agg(F.collect_set("print").alias("shingles"))
+        .withColumn("least", min_hashes(F.col("shingles"), bands))
+    )
+    known = known.select("template", "license", "length", "wanted", min_hashes(F.col("wanted"), bands).alias("its_least"))
+    its_bands = known.select("template", "length", F.posexplode("its_least").alias("band", "value"))
+    candidates = (
+        windows.select("doc_id", "length", "shingles", "least", F.posexplode("least").alias("band", "value"))
+        .join(at_hand(its_bands), ["length", "band", "value"])
+        .join(at_hand(known.drop("length")), "template")
+    )
+    # once for each window and template, at the first band that they share
+    shared = F.array_position(F.zip_with("least", "its_least", lambda a, b: a == b), True)
+    containment = F.size(F.array_intersect("shingles", "wanted")) / F.size("wanted")
     return (
-        reduce(DataFrame.unionByName, parts)
+        candidates.filter(shared == F.col("band") + 1)
+        .select("doc_id", "license", containment.alias("containment"))
+        .filter(F.col("containment") >= CONTAINMENT)
         .groupBy("doc_id", "license")
         .agg(F.max("containment").alias("containment"), F.count("*").alias("windows"))
     )
-
-
-def _scan(spark: SparkSession, rows: DataFrame, templates: list, length: int, bands: int) -> DataFrame:
-    """doc_id, license, containment of every window that matches a template of this length."""
-    size, step = min(SHINGLE, length), max(1, length // 2)
-    known = spark.createDataFrame(templates, "license string, words array<string>").select(
-        "license", shingles_of(F.col("words"), size).alias("wanted")
-    )
-    all_shingles = sorted({" ".join(w[i : i + size]) for _, w in templates for i in range(length - size + 1)})
-    # windows begin at every ``step`` words; these reach over the place
-    first = lambda place: F.greatest(F.lit(0), F.ceil((place - (length + step)) / step).cast("int"))
-    last = lambda place: F.floor((place - 1) / step).cast("int")
-    around = F.transform("places", lambda p: F.transform(F.sequence(first(p), last(p)), lambda k: k * step + 1))
-    starts = F.array_distinct(F.flatten(around))
-    # windows are cut inside the row: each then travels without the document's other words
-    cut = F.transform(
-        starts,
-        lambda at: F.struct(
-            at.alias("at"), shingles_of(F.slice(F.col("words"), at, length + step), size).alias("shingles")
-        ),
-    )
-    # a window without any shingle of a template contains none of it
-    known_shingles = F.array(*map(F.lit, all_shingles))
-    some = F.filter(cut, lambda window: F.arrays_overlap(window["shingles"], known_shingles))
-    windows = rows.filter(F.size("words") >= size).select("doc_id", F.inline(some))
-    hashed = windows.select("doc_id", "at", "shingles", F.posexplode(min_hashes(F.col("shingles"), bands)).alias("band", "least"))
-    template_bands = known.select("license", "wanted", F.posexplode(min_hashes(F.col("wanted"), bands)).alias("band", "least"))
-    candidates = hashed.join(F.broadcast(template_bands), ["band", "least"]).select("doc_id", "at", "shingles", "license", "wanted").distinct()
-    containment = F.size(F.array_intersect("shingles", "wanted")) / F.size("wanted")
-    return candidates.select("doc_id", "license", containment.alias("containment")).filter(F.col("containment") >= CONTAINMENT)

@@ -121,6 +121,17 @@ def test_licenses_of_nothing_nulls_and_repeats(spark, documents):
     assert licenses.license_matches(docs.limit(0), templates).count() == 0
 
 
+def test_whole_licence_texts_are_found(spark, documents):
+    whole = {file.stem: file.read_text() for file in sorted(licenses.TEXTS.glob("*.txt"))}
+    assert {"MIT", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "ISC", "Unlicense", "Apache-2.0", "BSD-3-Clause"} <= set(whole)
+    docs = [(i, prose(i, 300) + "\n" + text + "\n" + prose(i + 50, 20)) for i, text in enumerate(whole.values())]
+    docs += [(50, "# " + whole["MIT"].upper().replace("\n", "\n# ")), (51, whole["MIT"][:300]), (52, whole["GPL-2.0"][:14_000])]
+    found = {(r.doc_id, r.license): r.containment for r in licenses.license_matches(documents(*docs), licenses.default_templates(spark)).collect()}
+    assert all(found[i, name] == 1 for i, name in enumerate(whole)) and found[50, "MIT"] == 1
+    assert (51, "MIT") not in found and 0.75 <= found[52, "GPL-2.0"] < 1
+    assert found == license_brute(docs, licenses.TEMPLATES + list(whole.items()))
+
+
 def test_bands_find_nearly_all():
     assert (2 / 3) ** licenses.BANDS < 1e-8
 
