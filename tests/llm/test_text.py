@@ -318,6 +318,30 @@ def test_language_of_odd_texts(clashing):
     assert language.identify_languages(clashing(*rows).limit(0)).count() == 0
 
 
+def language_docs(lang, n, size, start):
+    chance = random.Random(lang)
+    vocabulary = ["".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(chance.randrange(4, 10))) for _ in range(60)]
+    return [(start + i, " ".join(chance.choice(vocabulary) for _ in range(size)), lang) for i in range(n)]
+
+
+def test_every_language_is_learned(documents):
+    rows = [row for k in range(70) for row in language_docs(f"l{k:02}", 9 - k // 10, 80, 100 * k)]
+    rows += language_docs("long", 6, 4000, 9000)
+    assert min(len(text) for _, text, lang in rows if lang == "long") > 16_384
+    found = {r.doc_id: r for r in language.identify_languages(documents(*rows)).collect()}
+    held = [(found[i].lang_pred, lang) for i, _, lang in rows if found[i].held_out]
+    assert all(a == b for a, b in held) and {"l00", "long"} <= {lang for _, lang in held} and len({lang for _, lang in held}) > 60
+
+
+def test_tiny_dictionaries_and_blocks(monkeypatch):
+    contents = {f"l{k:02}": language_docs(f"l{k:02}", 1, 200, 0)[0][1].encode() for k in range(9)} | {"tiny": b"a"}
+    texts = [language_docs(f"l{k:02}", 2, 60, 0)[1][1] for k in range(9)] + [None, "", "12"]
+    whole = language.CompressionClassifier(contents).classify_all(texts)
+    monkeypatch.setattr(language, "BLOCK", 4)
+    assert language.CompressionClassifier(contents).classify_all(texts) == whole
+    assert [name for name, _, _ in whole] == [f"l{k:02}" for k in range(9)] + ["und"] * 3
+
+
 def test_quality_on_labelled_documents_not_learned_from(spark):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     learn = labels.filter("doc_id % 3 <> 0")
