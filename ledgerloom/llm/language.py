@@ -31,9 +31,10 @@ def training_slices(docs: DataFrame, per_language: int, dictionary_bytes: int, t
     """The dictionary of each language: slices of a bounded sample of its training documents.
 
     Training documents have an id whose crc32 modulo 3 is not 1, a language and a text; every language
-    of one gets a dictionary. ``per_language`` rows whose hashes are lowest give a slice each, so long
-    that they fill ``dictionary_bytes`` together, or with many languages an equal part of
-    ``total_bytes``, but ``LEAST_BYTES`` at least.
+    of one gets a dictionary. Rows whose hashes are lowest give a slice each, from a place that the
+    hash chooses; of equal slices one is kept, and of these ``per_language``. They are so long that they
+    fill ``dictionary_bytes`` together, or with many languages an equal part of ``total_bytes``, but
+    ``LEAST_BYTES`` at least. Only they come to the driver.
     """
     train = docs.filter(
         (id_remainder(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)
@@ -49,10 +50,14 @@ def training_slices(docs: DataFrame, per_language: int, dictionary_bytes: int, t
     ]
     limits = docs.sparkSession.createDataFrame(limits, "lang string, highest long, share int")
     order = Window.partitionBy("lang").orderBy("h", "slice")
+    places = F.greatest(F.lit(1), F.octet_length("text") - F.col("share") + 1)
+    at = F.pmod(F.xxhash64("h"), places).cast("int") + 1
     slices = (
         train.join(F.broadcast(limits), "lang")
         .filter(F.col("h") <= F.col("highest"))
-        .select("lang", "h", F.substring(F.col("text").cast("binary"), F.lit(1), F.col("share")).alias("slice"))
+        .select("lang", "h", F.substring(F.col("text").cast("binary"), at, F.col("share")).alias("slice"))
+        .groupBy("lang", "slice")
+        .agg(F.min("h").alias("h"))
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= per_language)
     )

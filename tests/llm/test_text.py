@@ -333,6 +333,17 @@ def test_every_language_is_learned(documents):
     assert all(a == b for a, b in held) and {"l00", "long"} <= {lang for _, lang in held} and len({lang for _, lang in held}) > 60
 
 
+def test_dictionaries_hold_no_header_over_and_over(documents):
+    header = " ".join(f"header{k}" for k in range(80)) + " "
+    rows = [(i, header + text, lang) for i, text, lang in language_docs("aa", 300, 800, 0)]
+    rows += [(1000 + i, text, "bb") for i, text, _ in language_docs("bb", 1, 400, 0) * 300]
+    found = language.training_slices(documents(*rows, *((i + 5000, rows[-1][1], "bb") for i in range(300))), 256, 65_536, 2**22)
+    body = set(language_docs("aa", 1, 800, 0)[0][1].split())
+    assert found["aa"].count(b"header0 ") < 40 and sum(word.encode() in found["aa"] for word in body) > 50
+    slices = [found["bb"][i : i + 256] for i in range(0, len(found["bb"]), 256)]
+    assert len(slices) == len(set(slices)) > 100
+
+
 def test_tiny_dictionaries_and_blocks(monkeypatch):
     contents = {f"l{k:02}": language_docs(f"l{k:02}", 1, 200, 0)[0][1].encode() for k in range(9)} | {"tiny": b"a"}
     texts = [language_docs(f"l{k:02}", 2, 60, 0)[1][1] for k in range(9)] + [None, "", "12"]
