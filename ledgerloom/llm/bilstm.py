@@ -76,22 +76,22 @@ class Tagger:
         """For each window whether staying outside is the best path, by a bound that needs no search.
 
         A path gains over staying outside at each character in a kind at most what the kind's score,
-        with the better of entering and staying, is above the score outside. Where no character
-        gains, no path does; leaving is counted if it should ever pay.
+        with the better of entering and staying, is above the score outside; leaving is counted if it
+        should ever pay. Outside is best if no stretch gains: one inside the window pays for entering
+        and leaving, one that reaches its end for entering, and one that begins with it for nothing.
         """
         p = self.p
         first = np.maximum(p["first"][1:] - p["first"][0], np.maximum(p["enter"], p["stay"]))
         step = np.maximum(first, p["stay"]) + np.maximum(p["leave"], 0)
-        sure = np.ones(e.shape[1], bool)
         gain = e[:, :, 1] + step[0]
         for k in range(1, self.kinds):
             np.maximum(gain, e[:, :, k + 1] + step[k], out=gain)
         gain -= e[:, :, 0]
-        # a stretch has to enter, or to begin with the window
-        toll = min(0.0, float((p["enter"] - p["stay"]).max()), float((p["enter"] + p["leave"] - p["stay"]).max()))
-        inner = np.maximum(gain, 0)
-        sure &= (gain[0] <= 0) & (inner.sum(axis=0) + toll <= 0)
-        return sure
+        enters = min(0.0, float((p["enter"] - p["stay"]).max()))
+        both = min(0.0, float((p["enter"] + p["leave"] - p["stay"]).max()))
+        sure = np.maximum(gain[1:], 0).sum(axis=0) + both <= 0
+        sure &= gain[:0:-1].cumsum(axis=0).max(axis=0, initial=-np.inf) + enters <= 0
+        return sure & (gain.cumsum(axis=0).max(axis=0) <= 0)
 
     def decode(self, e: np.ndarray) -> np.ndarray:
         """The best labels (time x windows) for emissions; of equal paths the one outside."""

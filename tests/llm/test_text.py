@@ -92,6 +92,20 @@ def test_decoding_is_the_best_path():
         assert not t.surely_outside(e)[0] or not any(best)
 
 
+def test_paths_at_the_edges_are_not_surely_outside():
+    t, rng = bilstm.Tagger(2), np.random.default_rng(3)
+    e = np.zeros((6, 1, 3))
+    e[:, :, 1:] = -3
+    e[-1, 0, 1] = 2.5  # enters at the last character and never leaves
+    assert t.decode(e)[-1, 0] == 1 and not t.surely_outside(e)[0]
+    e[-1, 0, 1], e[0, 0, 1], e[1, 0, 1] = -3, float(t.p["first"][0] - t.p["first"][1]), 1.0  # begins with the window
+    assert t.decode(e)[0, 0] == 1 and not t.surely_outside(e)[0]
+    e = rng.normal(-1.5, 1.5, (6, 20_000, 3))
+    e[:, :, 0] = 0
+    sure, best = t.surely_outside(e), t.decode(e).any(axis=0)
+    assert not (sure & best).any() and sure.sum() > 1000 and best.sum() > 1000
+
+
 def test_model_finds_held_out_values_and_spares_clean_text(spark, tagger):
     texts = [row.text for row in table(spark, SMALL, "documents").collect()]
     windows, labels = pii.training_windows(texts, 400, seed=99)
