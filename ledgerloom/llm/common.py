@@ -58,9 +58,14 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def id_crc32(doc_id: Column) -> Column:
+    """crc32 of the id as text, not negative; a null id counts as the text ``null``."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary"))
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
-    """crc32 of the id as text, modulo ``divisor``; a null id counts as the text ``null``."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % divisor
+    """``id_crc32`` modulo ``divisor``."""
+    return id_crc32(doc_id) % divisor
 
 
 def id_remainder_of(doc_id: int | None, divisor: int) -> int:

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, hmm, language, licenses, near_dedup, pieces, pii, quality, suffix_dedup
+from ledgerloom.llm import (
+    decontaminate,
+    exact_dedup,
+    hmm,
+    language,
+    licenses,
+    near_dedup,
+    periodic_runs,
+    pieces,
+    pii,
+    quality,
+    suffix_dedup,
+)
+from ledgerloom.llm.common import id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +76,39 @@ def op10_near_dedup(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Doc_id and text; the texts of a tenth of the documents repeat a stretch of their own words.
+
+    With h the crc32 of the id, g = h // 10 and h % 10 = 0, the words from a = g % n on are those of
+    the p = 1 + (n - a) // (3 + g % 8) words at a, over and over.
+    """
+    h = id_crc32(F.col("doc_id"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n, a = F.size("words"), F.expr("cast(g % size(words) AS int)")
+    placed = split.withColumns({"n": n, "a": F.when(n > 0, a)})
+    period = F.expr("cast(1 + floor((n - a) / (3 + g % 8)) AS int)")
+    head, unit = F.slice("words", F.lit(1), F.col("a")), F.slice("words", F.col("a") + 1, period)
+    rest = F.col("n") - F.col("a")
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / period).cast("int"))), F.lit(1), rest)
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, folder):
+    found = periodic_runs.periodic_runs(with_periods(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     from corpus_pipeline import run
 
