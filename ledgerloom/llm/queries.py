@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
@@ -17,10 +17,11 @@ from ledgerloom.llm import (
     periodic_runs,
     pieces,
     pii,
+    prefix_trie,
     quality,
     suffix_dedup,
 )
-from ledgerloom.llm.common import id_crc32
+from ledgerloom.llm.common import id_crc32, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +110,27 @@ def op11_periodic_runs(spark, folder):
     )
 
 
+def with_shared_heads(paths: DataFrame) -> DataFrame:
+    """The conversations' turns rebuilt: the first h are those of conversation c - c % 100, h = crc32(c) % 6."""
+    c, h = F.col("conv_id"), id_remainder(F.col("conv_id"), 6).cast("int")
+    heads = paths.filter(c % 100 == 0).select(
+        c.alias("base"), F.slice("path", 1, 5).alias("head"), F.slice("chars", 1, 5).alias("head_chars")
+    )
+    both = paths.withColumn("base", c - c % 100).join(heads, "base", "left")
+
+    def rebuilt(head: str, own: str) -> Column:
+        first = F.coalesce(F.slice(head, F.lit(1), h), F.expr("array()").cast("array<long>"))
+        return F.concat(first, F.slice(own, h + 1, F.size(own))).alias(own)
+
+    return both.select("conv_id", rebuilt("head", "path"), rebuilt("head_chars", "chars"))
+
+
+def op12_prefix_trie(spark, folder):
+    conversations = table(spark, folder, "conversations")
+    paths = prefix_trie.conversation_paths(conversations, prefix_trie.turn_dictionary(conversations))
+    return prefix_trie.path_trie(with_shared_heads(paths)).drop("turn_id")
+
+
 def llm_queries() -> dict[str, Query]:
     from corpus_pipeline import run
 
