@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     decontaminate,
     exact_dedup,
+    hash_search,
     hmm,
     language,
     licenses,
@@ -131,6 +132,10 @@ def op12_prefix_trie(spark, folder):
     return prefix_trie.path_trie(with_shared_heads(paths)).drop("turn_id")
 
 
+def op13_hash_search(spark, folder):
+    return hash_search.nearest_neighbours(table(spark, folder, "embeddings"), "vec_id % 100 = 0")
+
+
 def llm_queries() -> dict[str, Query]:
     from corpus_pipeline import run
 
