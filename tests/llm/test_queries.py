@@ -18,7 +18,7 @@ from workload.compare import as_bag, oracle_connection
 
 def test_one_query_for_each_operator():
     names = [name.split("_")[0] for name in llm_queries()]
-    assert sorted(names) == sorted(["pipeline", *(f"op{n}" for n in range(1, 11))])
+    assert sorted(names) == sorted(["pipeline", *(f"op{n}" for n in range(1, 14))])
     assert set(llm_queries()) <= set(entry.queries()) and set(llm_oracles()) <= set(entry.oracle_sql())
 
 
