@@ -14,7 +14,7 @@ from ledgerloom.functions.cleaning import (
     strip_integer,
     title_label,
 )
-from ledgerloom.functions.numeric import round_half_up
+from ledgerloom.functions.numeric import exact_product, product_type, round_half_up
 from ledgerloom.functions.text import details_text, details_udf, prefixed
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "details_udf",
     "digits_only_id",
     "email_address",
+    "exact_product",
     "first_date",
     "flag_words",
     "floor_at_zero",
@@ -32,6 +33,7 @@ __all__ = [
     "phone_number",
     "prefixed",
     "product_code",
+    "product_type",
     "round_half_up",
     "strip_amount",
     "strip_integer",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, StringType
 
 from ledgerloom.functions import cleaning as rules
-from ledgerloom.functions.numeric import round_half_up
+from ledgerloom.functions.numeric import exact_product, product_type, round_half_up
 from ledgerloom.operators.relational import dedup_by_key, fk_valid, require, row_counts
 from ledgerloom.sinks.tables import ensure_database, save_parquet, save_table, side_by_side
 
@@ -200,13 +200,17 @@ def sales_enriched(orders: DataFrame, customers: DataFrame, products: DataFrame)
     goods = products.select("product_id", "product_name", "category", "brand")
     joined = orders.join(buyers, "customer_id").join(goods, "product_id")
 
-    amounts = orders.schema["unit_price"].dataType
-    if isinstance(amounts, DecimalType):
-        quantity, share = F.col("quantity"), F.col("discount_pct") * F.lit(Decimal("0.01"))
-        gross_type = "decimal(38,2)"
+    price, quantity, percent = (F.col(name) for name in ("unit_price", "quantity", "discount_pct"))
+    price_type, quantity_type, percent_type = (
+        orders.schema[name].dataType for name in ("unit_price", "quantity", "discount_pct")
+    )
+    exact = isinstance(price_type, DecimalType)
+    if exact:
+        gross_type = product_type(price_type, quantity_type, 2)
+        gross = exact_product(price, price_type, quantity, quantity_type, 2)
     else:  # a float stays a float, a double a double
-        gross_type = "float" if isinstance(amounts, FloatType) else "double"
-        quantity, share = F.col("quantity").cast(gross_type), F.col("discount_pct") / 100
+        gross_type = "float" if isinstance(price_type, FloatType) else "double"
+        gross = F.round(quantity.cast(gross_type) * price, 2).cast(gross_type)
     sold = joined.select(
         "order_id",
         "order_date",
@@ -227,11 +231,16 @@ def sales_enriched(orders: DataFrame, customers: DataFrame, products: DataFrame)
         "total_amount",
         "payment_method",
         "order_status",
-        F.round(quantity * F.col("unit_price"), 2).cast(gross_type).alias("gross_amount"),
+        gross.alias("gross_amount"),
     )
-    discounted = sold.withColumn("discount_amount", F.round(F.col("gross_amount") * share, 2))
-    net = F.round(F.col("gross_amount") - F.col("discount_amount"), 2)
-    return discounted.withColumn("net_amount", net)
+    if exact:  # hundredths of a percent of the gross amount, rounded once to whole ones, are cents
+        cents = exact_product(F.col("gross_amount"), gross_type, percent, percent_type, 0)
+        discount = (cents * F.lit(Decimal("0.01"))).cast(gross_type)
+        net = (F.col("gross_amount") - F.col("discount_amount")).cast(gross_type)
+    else:
+        discount = F.round(F.col("gross_amount") * (percent / 100), 2)
+        net = F.round(F.col("gross_amount") - F.col("discount_amount"), 2)
+    return sold.withColumn("discount_amount", discount).withColumn("net_amount", net)
 
 
 def monthly_sales_summary(sales: DataFrame, unique_orders: bool = False) -> DataFrame:

@@ -46,8 +46,11 @@ SELECT
   CASE WHEN s % 41 = 6 THEN '-' ELSE '' END || units ||
     CASE WHEN k % 19 = 0 THEN '.5' ELSE ' pcs' END AS quantity,
   CASE WHEN s % 67 = 4 THEN '1.2.3' WHEN s % 73 = 8 THEN '100000000000000'
-       WHEN s % 79 = 9 THEN '0.00004' ELSE '$' || {_marked('price')} END AS unit_price,
-  CASE WHEN s % 13 = 0 THEN '15' WHEN s % 17 = 0 THEN '-' ELSE '' END || percent || ' %'
+       WHEN s % 79 = 9 THEN '0.00004' WHEN s % 37 = 7 THEN '0.0049999999'
+       WHEN s % 37 = 8 THEN '0.05' WHEN s % 37 = 9 THEN '0.0050000000'
+       WHEN s % 37 = 10 THEN '123456789012345678.1234567891'
+       ELSE '$' || {_marked('price')} END AS unit_price,
+  CASE WHEN s % 37 = 8 THEN '9.999' WHEN s % 37 = 10 THEN '33.3333' WHEN s % 13 = 0 THEN '15' WHEN s % 17 = 0 THEN '-' ELSE '' END || percent || ' %'
     AS discount_pct,
   CASE WHEN s % 71 = 9 THEN 'NA' WHEN s % 83 = 7 THEN '100,000,000,000,000,000,000'
        ELSE 'USD ' || {_marked('total')} END AS total_amount,
