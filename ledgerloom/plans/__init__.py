@@ -8,6 +8,7 @@ from ledgerloom.plans.retail import (
     monthly_sales_summary,
     sales_enriched,
     source_and_curated_counts,
+    store_co_located,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "run_sql",
     "sales_enriched",
     "source_and_curated_counts",
+    "store_co_located",
 ]

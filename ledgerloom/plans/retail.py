@@ -23,6 +23,8 @@ EXACT = "decimal(38,10)"
 PERCENT = "decimal(7,4)"
 # The column by which the stored sales are partitioned; it is not part of the returned table.
 SALES_MONTH = "sales_month"
+# A bucket of the co-located tables is at most so many times the average.
+LARGEST_BUCKET = 5
 
 
 Rule = Callable[[Column], Column]
@@ -320,6 +322,38 @@ def curate_retail(
     return tables | {name: done[name] for name in ("orders", "monthly_sales_summary")}
 
 
+def store_co_located(
+    spark: SparkSession,
+    database: str,
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    buckets: int | None = None,
+) -> dict[str, DataFrame]:
+    """Orders and customers stored in equal buckets by customer, with the key as text in both; products as they are.
+
+    ``fk_valid_orders`` and ``sales_enriched`` over these tables move neither orders nor customers,
+    whatever their sizes, as long as products are small enough to broadcast; beyond that the orders are
+    shuffled once, by product. ``buckets`` is ``spark.sql.shuffle.partitions`` by default. A bucket is
+    read by one task, so if a customer or two make the largest more than ``LARGEST_BUCKET`` times the
+    average, orders are stored without buckets, and adaptive execution splits their joins.
+    """
+    many = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col("customer_id").cast("string")
+    sizes = orders.groupBy(F.pmod(F.hash(key), F.lit(many))).count().agg(F.max("count"), F.sum("count")).first()
+    even = (sizes[0] or 0) * many <= LARGEST_BUCKET * (sizes[1] or 0)
+
+    def by_customer(name: str, df: DataFrame) -> DataFrame:
+        layout = {"bucket_by": ["customer_id"], "buckets": many} if even else {}
+        return save_table(df.withColumn("customer_id", key), f"{database}.{name}", **layout)
+
+    return side_by_side(
+        orders=lambda: by_customer("orders", orders),
+        customers=lambda: by_customer("customers", customers),
+        products=lambda: save_table(products, f"{database}.products"),
+    )
+
+
 def source_and_curated_counts(
     sources: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from ledgerloom.sources.files import (
     read_weather,
 )
 from ledgerloom.sources.memory import number_range, value_rows
-from ledgerloom.sources.views import CURATED_VIEWS, register_curated
+from ledgerloom.sources.views import CURATED_VIEWS, register_curated, register_exports
 
 __all__ = [
     "CURATED_VIEWS",
@@ -33,5 +33,6 @@ __all__ = [
     "read_ratings",
     "read_weather",
     "register_curated",
+    "register_exports",
     "value_rows",
 ]

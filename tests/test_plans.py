@@ -9,7 +9,7 @@ from conftest import SMALL, final_plan, rows
 from pyspark.sql import functions as F
 
 from ledgerloom import operators as ops
-from ledgerloom import plans, sources
+from ledgerloom import plans, sinks, sources
 from ledgerloom.operators.similarity import _spread_heavy_users
 from workload import inputs, queries
 
@@ -135,7 +135,7 @@ def test_cleaning_code_stays_under_the_jit_limit(spark, setting, tmp_path, name)
     assert sizes and max(sizes) < JIT_LIMIT
 
 
-WRITERS = ("src_", "sink_", "curate_", "similar_items_topk")
+WRITERS = ("src_", "sink_", "curate_", "similar_items_topk", "stored_", "table_", "registered_")
 
 
 @pytest.mark.parametrize(
@@ -204,6 +204,37 @@ def test_hot_keys_are_split_over_tasks(spark, setting, job):
     assert rows(split.select("order_id")) == whole
 
 
+def _stored_sales(spark, folder, **hot):
+    database = queries.database_name(folder)
+    sinks.ensure_database(spark, database, f"{folder}/tables")
+    orders, customers, products = queries.retail_frames(spark, SMALL)
+    orders = orders.withColumns({name: F.expr(sql) for name, sql in hot.items()})
+    stored = plans.store_co_located(spark, database, orders, customers, products, 8)
+    return (orders, customers, products), (stored["orders"], stored["customers"], stored["products"])
+
+
+@pytest.mark.parametrize("job", [plans.sales_enriched, plans.fk_valid_orders])
+def test_stored_orders_stay_in_place(spark, folder, setting, job):
+    """Orders and customers are joined bucket by bucket: only the products, which are small, move."""
+    loose, stored = _stored_sales(spark, folder)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    joined = job(stored[0], stored[1], F.broadcast(stored[2]))
+    found = final_plan(joined)
+    assert "SortMergeJoin" in found and "Bucketed: true" in found
+    assert not re.search(r"(?<!Broadcast)Exchange hashpartitioning", found)
+    assert rows(joined.select("order_id")) == rows(job(*loose).select("order_id"))
+
+
+def test_orders_of_a_hot_customer_are_not_bucketed(spark, folder, setting):
+    """A third of the orders are one customer's: a bucket of them would be one task's."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    loose, stored = _stored_sales(spark, folder, customer_id="IF(CAST(order_id AS INT) % 10 < 8, '7', customer_id)")
+    joined = plans.sales_enriched(*stored)
+    assert "Bucketed: true" not in final_plan(joined)
+    assert rows(joined.select("order_id", "net_amount")) == rows(plans.sales_enriched(*loose).select("order_id", "net_amount"))
+
+
 def test_smallest_degree_reads_the_lines_once(spark):
     """Of the main query and its subquery, one scans the lines and the other reuses the shuffle."""
     df = queries.min_degree_ties(spark, SMALL)

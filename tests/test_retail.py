@@ -256,7 +256,7 @@ def test_whole_job(spark, folder):
     assert tables["orders"].columns[:2] == ["product_id", "customer_id"]
     assert rows(tables["orders"]) == rows(valid)
     for name, table in tables.items():
-        assert rows(spark.read.parquet(f"{folder}/exports/{name}")) == rows(table)
+        assert rows(sinks.read_snapshot(spark, f"{folder}/exports/{name}")) == rows(table)
         stored = spark.table(f"{database}.{name}")
         assert rows(stored.select(*table.columns)) == rows(table)
     assert rows(spark.table(f"{database}.sales_enriched").select("sales_month").distinct()) == [("2024-01",)]

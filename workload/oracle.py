@@ -400,6 +400,8 @@ def all_oracles() -> dict[str, str]:
         "distinct_keys": "SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2",
         "fk_valid_orders": _with(**RETAIL_CTES, valid=FK_VALID) + SHOWN_ORDERS.format(source="valid"),
         "sales_enriched": sales + SHOWN_SALES,
+        "stored_sales_enriched": sales + SHOWN_SALES,
+        "stored_fk_valid_orders": _with(**RETAIL_CTES, valid=FK_VALID) + SHOWN_ORDERS.format(source="valid"),
         "monthly_sales_summary": sales + "SELECT * FROM monthly",
         "revenue_by_category_month": sales
         + "SELECT order_month, category, net_revenue, total_units_sold FROM monthly",
@@ -427,6 +429,16 @@ def all_oracles() -> dict[str, str]:
                 "monthly_sales_summary": "monthly",
             }
         ),
+        "registered_exports": sales
+        + _counts(
+            {
+                "orders_curated": "retail_orders",
+                "products_curated": "retail_products",
+                "customers_curated": "retail_customers",
+                "sales_enriched": "sales",
+                "monthly_sales_summary": "monthly",
+            }
+        ),
         **_curated_job(),
         "pair_stats": _with(**PAIR_CTES) + "SELECT * FROM pairs",
         "item_similarity": _with(**PAIR_CTES) + "SELECT * FROM scored",
@@ -495,5 +507,7 @@ def all_oracles() -> dict[str, str]:
         "src_text_people": PEOPLE + "SELECT CAST(id AS INTEGER) AS id, name, age, friends FROM people",
         "sink_parquet_readback": "SELECT * FROM part",
         "sink_table_rows": "SELECT * FROM part",
+        "table_versions": "SELECT CAST(1 AS INTEGER) AS version, CAST(p_partkey AS VARCHAR) AS key, p_brand, p_size AS size "
+        "FROM part UNION ALL SELECT CAST(2 AS INTEGER), CAST(p_partkey AS VARCHAR), p_brand, p_size FROM part WHERE p_size > 10",
         "sink_table_readback": f"SELECT * FROM part ORDER BY p_partkey LIMIT {TOP_N}",
     }

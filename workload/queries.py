@@ -107,14 +107,33 @@ def monthly_sales_summary(spark, folder):
     return plans.monthly_sales_summary(_sales(spark, folder))
 
 
+def _co_located(spark, folder, customers_where="true", products_where="true"):
+    """The retail tables saved in equal buckets by customer."""
+    orders, customers, products = retail_frames(spark, folder)
+    scratch = scratch_folder(spark)
+    database = database_name(scratch)
+    sinks.ensure_database(spark, database, f"{scratch}/tables")
+    tables = plans.store_co_located(spark, database, orders, customers.where(customers_where), products.where(products_where))
+    return tables["orders"], tables["customers"], tables["products"]
+
+
+def stored_sales_enriched(spark, folder):
+    """The enriched sales over stored tables, whose rows stay in place."""
+    return plain(plans.sales_enriched(*_co_located(spark, folder)))
+
+
+def stored_fk_valid_orders(spark, folder):
+    return plain(plans.fk_valid_orders(*_co_located(spark, folder, "balance > 0", "size > 10")))
+
+
 # The saved curated tables of a session, by data folder: saved once, read by every report.
 _SAVED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def save_curated(spark, folder) -> dict[str, DataFrame]:
+def save_curated(spark, folder, exports: str | None = None) -> dict[str, DataFrame]:
     """The five curated tables over the given tables, written and read back."""
     orders, customers, products = retail_frames(spark, folder)
-    scratch = scratch_folder(spark)
+    scratch = exports or scratch_folder(spark)
 
     def saved(name: str, df: DataFrame) -> DataFrame:
         return sinks.save_parquet(df, f"{scratch}/{name}")
@@ -123,10 +142,10 @@ def save_curated(spark, folder) -> dict[str, DataFrame]:
         orders=lambda: saved("orders", orders),
         products=lambda: saved("products", products),
         customers=lambda: saved("customers", customers),
-        sales_enriched=lambda: saved("sales", plans.sales_enriched(orders, customers, products)),
+        sales_enriched=lambda: saved("sales_enriched", plans.sales_enriched(orders, customers, products)),
     )
     monthly = plans.monthly_sales_summary(tables["sales_enriched"])
-    return tables | {"monthly_sales_summary": saved("monthly", monthly)}
+    return tables | {"monthly_sales_summary": saved("monthly_sales_summary", monthly)}
 
 
 def _registered(spark, folder):
@@ -151,6 +170,20 @@ def register_curated(spark, folder):
     return names.join(counts, "table_name", "left")
 
 
+def registered_exports(spark, folder):
+    """The rows behind the lasting names, as another session of the catalog finds them."""
+    scratch = scratch_folder(spark)
+    database = database_name(scratch)
+    sinks.ensure_database(spark, database, f"{scratch}/tables")
+    curated = save_curated(spark, folder, f"{scratch}/exports")
+    sinks.save_parquet(curated["orders"].limit(0), f"{scratch}/exports/orders")
+    sources.register_exports(spark, f"{scratch}/exports", database)
+    sinks.save_parquet(curated["orders"], f"{scratch}/exports/orders")
+    sources.register_exports(spark, f"{scratch}/exports", database)  # shows what was exported since
+    other = spark.newSession()
+    return ops.row_counts({view: other.table(f"{database}.{view}") for view in sources.CURATED_VIEWS.values()})
+
+
 def _curated(spark, folder):
     """Landing CSV files -> curated tables and exports; what landed and what was written."""
     scratch = scratch_folder(spark)
@@ -455,6 +488,19 @@ def sink_table_rows(spark, folder):
     return sinks.save_table(table(spark, folder, "part"), f"{database}.part")
 
 
+def table_versions(spark, folder):
+    """A table partitioned by brand, then replaced by one of other columns: both versions, as read."""
+    scratch = scratch_folder(spark)
+    database = database_name(scratch)
+    sinks.ensure_database(spark, database, f"{scratch}/tables")
+    part, name = table(spark, folder, "part"), f"{database}.part"
+    sinks.save_table(part, name, partition_by=["p_brand"])
+    first = spark.table(name)  # stays with its version
+    sinks.save_table(part.where("p_size > 10").selectExpr("string(p_partkey) AS key", "p_brand", "p_size AS size"), name)
+    first = first.selectExpr("1 AS version", "string(p_partkey) AS key", "p_brand", "p_size AS size")
+    return first.unionByName(spark.table(name).withColumn("version", F.lit(2)))
+
+
 def all_queries() -> dict[str, Query]:
     listed = [
         clean_orders,
@@ -466,7 +512,10 @@ def all_queries() -> dict[str, Query]:
         fk_valid_orders,
         sales_enriched,
         monthly_sales_summary,
+        stored_sales_enriched,
+        stored_fk_valid_orders,
         register_curated,
+        registered_exports,
         curate_retail,
         curated_sales,
         curated_monthly,
@@ -513,6 +562,7 @@ def all_queries() -> dict[str, Query]:
         sink_parquet_readback,
         sink_table_readback,
         sink_table_rows,
+        table_versions,
     ]
     named = {query.__name__: query for query in listed}
     return named | {name: _question(name) for name in plans.ANALYTICS}
