@@ -31,6 +31,7 @@ def dedup_by_key(
     df: DataFrame,
     keys: Sequence[str],
     rules: Mapping[str, Callable[[Column], Column]] | None = None,
+    count_as: str | None = None,
 ) -> DataFrame:
     """One row per key: the smallest row, comparing all columns left to right, nulls first.
 
@@ -42,6 +43,7 @@ def dedup_by_key(
 
     ``rules`` are applied to columns of the kept rows as part of the aggregation's result, so
     an expensive rule runs once per kept row even when a later filter looks at its column.
+    ``count_as`` names a further column with the number of rows of the key.
     """
     rules = rules or {}
     # by place, so that no column name can clash or need quoting on the way
@@ -64,8 +66,11 @@ def dedup_by_key(
         rules.get(name, lambda column: column)(F.col(place) if name in keys else kept[place]).alias(place + "r")
         for name, place in places.items()
     ]
-    chosen = grouped.agg(*results).select(*[place + "r" for place in places.values()])
-    return chosen.toDF(*df.columns)
+    names = [place + "r" for place in places.values()]
+    if count_as:
+        results.append(F.count(F.lit(1)).alias("rows"))
+        return grouped.agg(*results).select(*names, "rows").toDF(*df.columns, count_as)
+    return grouped.agg(*results).select(*names).toDF(*df.columns)
 
 
 def _has_no_order(kind: DataType) -> bool:

@@ -5,10 +5,16 @@ from ledgerloom.plans.retail import (
     clean_products,
     curate_retail,
     fk_valid_orders,
+    job_counts,
+    judge_customers,
+    judge_orders,
+    judge_products,
     monthly_sales_summary,
+    rejected_rules,
     sales_enriched,
     source_and_curated_counts,
     store_co_located,
+    tally,
 )
 
 __all__ = [
@@ -18,10 +24,16 @@ __all__ = [
     "clean_products",
     "curate_retail",
     "fk_valid_orders",
+    "job_counts",
+    "judge_customers",
+    "judge_orders",
+    "judge_products",
     "monthly_sales_summary",
+    "rejected_rules",
     "row_count_validation",
     "run_sql",
     "sales_enriched",
     "source_and_curated_counts",
     "store_co_located",
+    "tally",
 ]

@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType, FloatType, StringType
 from ledgerloom.functions import cleaning as rules
 from ledgerloom.functions.numeric import exact_product, product_type, round_half_up
 from ledgerloom.operators.relational import dedup_by_key, fk_valid, require, row_counts
-from ledgerloom.sinks.tables import ensure_database, save_parquet, save_table, side_by_side
+from ledgerloom.sinks.tables import ensure_database, save_parquet, save_table, side_by_side, table_snapshot
 
 # Amounts are exact decimals by default, of up to 28 digits and ten places. A well-formed amount
 # that does not fit fails the job. "float" gives the 32-bit floats of the original tables instead,
@@ -67,6 +67,90 @@ def _apply(df: DataFrame, table: TableRules, trim_key_first: bool) -> DataFrame:
     return require(checked, table.required)
 
 
+# The columns that ``judged`` adds.
+COPIES, REJECTED_ROWS, FAILED, LANDING, KEPT = "copies", "rejected_rows", "failed_rules", "landing", "kept"
+
+
+def judged(df: DataFrame, table: TableRules) -> DataFrame:
+    """What cleaning keeps, and what it rejects and why, in one pass.
+
+    The columns of ``df``, cleaned, and: ``copies``, the landing rows of this key; ``kept``, whether
+    the row is one that cleaning keeps; ``failed_rules``, for a required column ``name: missing``,
+    ``name: unreadable`` or ``name: out of range``; ``landing``, a rejected row as it landed, as JSON;
+    ``rejected_rows``, the landing rows that this row's rejection stands for. The survivor of a key
+    stands for itself (its duplicates are duplicates); rows without a usable key are no duplicates
+    of each other, only equal ones are one row here, with their number.
+    """
+    texts = {field.name for field in df.schema.fields if isinstance(field.dataType, StringType)}
+
+    def tidy(name: str) -> Column:
+        return rules.blank_to_null(F.col(name), table.null_tokens) if name in texts else F.col(name)
+
+    def read(name: str, value: Column) -> Column:
+        return table.read[name](value) if name in table.read else value
+
+    key = read(table.key, tidy(table.key))
+    marked = df.withColumns({"odd": F.when(key.isNull(), F.struct(*df.columns)), table.key: F.coalesce(key, F.col(table.key))})
+    survivors = dedup_by_key(marked, [table.key, "odd"], count_as=COPIES)
+    tidied = survivors.select(
+        F.col("odd").isNotNull().alias("odd"),
+        COPIES,
+        F.to_json(F.coalesce("odd", F.struct(*df.columns))).alias(LANDING),
+        *[tidy(name).alias(name) for name in df.columns],
+        *[tidy(name).isNull().alias(f"{name}: missing") for name in table.required],
+    )
+    readable = tidied.withColumns({name: read(name, F.col(name)) for name in table.read})
+    readable = readable.withColumns({f"{name}: unreadable": F.col(name).isNull() for name in table.required})
+    checked = readable.withColumns({name: rule(F.col(name)) for name, rule in table.check.items()})
+
+    def reason(name: str) -> Column:
+        missing, unreadable = f"{name}: missing", f"{name}: unreadable"
+        found = F.when(F.col(missing), missing).when(F.col(unreadable), unreadable)
+        return found.when(F.col(name).isNull(), f"{name}: out of range")
+
+    failed = checked.withColumn(FAILED, F.array_compact(F.array(*[reason(name) for name in table.required])))
+    kept = F.size(FAILED) == 0
+    rejected = F.when(kept, 0).when(F.col("odd"), F.col(COPIES)).otherwise(1).cast("long")
+    return failed.select(
+        *df.columns,
+        COPIES,
+        rejected.alias(REJECTED_ROWS),
+        FAILED,
+        F.when(~kept, F.col(LANDING)).alias(LANDING),
+        kept.alias(KEPT),
+    )
+
+
+def tally() -> dict[str, Column]:
+    """Aggregates of judged rows: landed = kept + duplicates + rejected."""
+    kept = F.col(KEPT).cast("long")
+    counted = {
+        "landed": F.col(COPIES),
+        "kept": kept,
+        "duplicates": F.col(COPIES) - F.col(REJECTED_ROWS) - kept,
+        "rejected": F.col(REJECTED_ROWS),
+    }
+    return {name: F.coalesce(F.sum(value), F.lit(0).cast("long")) for name, value in counted.items()}
+
+
+def judge_orders(orders: DataFrame, amount_type: str = EXACT) -> DataFrame:
+    return judged(orders, _orders_rules(amount_type))
+
+
+def judge_products(products: DataFrame, amount_type: str = EXACT) -> DataFrame:
+    return judged(products, _products_rules(amount_type))
+
+
+def judge_customers(customers: DataFrame) -> DataFrame:
+    return judged(customers, CUSTOMERS_RULES)
+
+
+def rejected_rules(judged_rows: DataFrame) -> DataFrame:
+    """``(rule, rows)``: how many landing rows each failed rule had a part in rejecting."""
+    each = judged_rows.select(F.explode(FAILED).alias("rule"), REJECTED_ROWS)
+    return each.groupBy("rule").agg(F.sum(REJECTED_ROWS).alias("rows"))
+
+
 def _not_negative(value: Column) -> Column:
     return rules.at_least(value, 0)
 
@@ -281,6 +365,7 @@ def curate_retail(
     location: str | None = None,
     export_folder: str | None = None,
     amount_type: str = EXACT,
+    trace: bool = False,
 ) -> dict[str, DataFrame]:
     """Run the whole job and return the five curated tables, read back from storage.
 
@@ -290,9 +375,20 @@ def curate_retail(
     a projection of the written sales and needs no join of its own, and the summary counts
     orders without telling them apart. Sales are stored by month. Writes that do not wait for
     each other run side by side.
+
+    With ``trace`` the cleaning writes its judgement of every landing row first, as tables
+    ``orders_judged``, ``products_judged`` and ``customers_judged``, split into kept and rejected rows,
+    and goes on from there; ``job_counts`` then has all counts of the job from its own writes.
     """
     ensure_database(spark, database, location)
-    cleaned = clean_orders(orders, amount_type)
+
+    def cleaned(name: str, landing: DataFrame) -> DataFrame:
+        of_amounts = {} if name == "customers" else {"amount_type": amount_type}
+        if not trace:
+            return {"orders": clean_orders, "products": clean_products, "customers": clean_customers}[name](landing, **of_amounts)
+        judge = {"orders": judge_orders, "products": judge_products, "customers": judge_customers}[name]
+        rows = save_table(judge(landing, **of_amounts), f"{database}.{name}_judged", [KEPT], metrics=tally())
+        return rows.where(KEPT).select(*landing.columns)
 
     def written(name: str, df: DataFrame, **layout) -> DataFrame:
         table = save_table(df, f"{database}.{name}", **layout)
@@ -300,20 +396,22 @@ def curate_retail(
             save_parquet(table, f"{export_folder}/{name}")
         return table
 
-    def sales_table() -> DataFrame:
-        enriched = sales_enriched(cleaned, tables["customers"], tables["products"])
+    def sales_table(usable: DataFrame) -> DataFrame:
+        enriched = sales_enriched(usable, tables["customers"], tables["products"])
         month = F.date_format("order_date", "yyyy-MM").alias(SALES_MONTH)
         stored = save_table(enriched.select("*", month), f"{database}.sales_enriched", partition_by=[SALES_MONTH])
         return stored.drop(SALES_MONTH)
 
-    tables = side_by_side(
-        customers=lambda: written("customers", clean_customers(customers)),
-        products=lambda: written("products", clean_products(products, amount_type)),
+    first = side_by_side(
+        customers=lambda: written("customers", cleaned("customers", customers)),
+        products=lambda: written("products", cleaned("products", products)),
+        orders=lambda: cleaned("orders", orders),
     )
-    tables["sales_enriched"] = sales = sales_table()
+    tables = {name: first[name] for name in ("customers", "products")}
+    tables["sales_enriched"] = sales = sales_table(first["orders"])
     summary = monthly_sales_summary(sales, unique_orders=True)
     last = {
-        "orders": lambda: written("orders", _keys_first(sales, cleaned.columns)),
+        "orders": lambda: written("orders", _keys_first(sales, orders.columns)),
         "monthly_sales_summary": lambda: written("monthly_sales_summary", summary),
     }
     if export_folder:
@@ -322,6 +420,21 @@ def curate_retail(
     return tables | {name: done[name] for name in ("orders", "monthly_sales_summary")}
 
 
+def job_counts(spark: SparkSession, database: str) -> DataFrame:
+    """``(table_name, record_count)`` of a traced job, out of what its writes counted: no row is read.
+
+    For each landing table what landed, its duplicates and its rejected rows; for each curated one its rows.
+    """
+    counts = []
+    for name in ("orders", "products", "customers"):
+        seen = table_snapshot(spark, f"{database}.{name}_judged").metrics
+        counts.append((f"{name} source", seen["landed"]))
+        counts += [(f"{name} {what}", seen[what]) for what in ("duplicates", "rejected")]
+    for name in ("orders", "products", "customers", "sales_enriched", "monthly_sales_summary"):
+        counts.append((f"{name} curated", table_snapshot(spark, f"{database}.{name}").rows))
+    return spark.createDataFrame(counts, "table_name string, record_count long")
+
+
 def store_co_located(
     spark: SparkSession,
     database: str,

@@ -16,6 +16,7 @@ from ledgerloom.sinks.tables import (
     save_table,
     side_by_side,
     snapshot_root,
+    table_snapshot,
 )
 
 __all__ = [
@@ -32,6 +33,7 @@ __all__ = [
     "save_table",
     "side_by_side",
     "snapshot_root",
+    "table_snapshot",
     "list_snapshots",
     "write_snapshot",
 ]

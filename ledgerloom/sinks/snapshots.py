@@ -15,11 +15,11 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,6 +46,7 @@ class Snapshot:
     rows: int
     files: int
     bytes: int
+    metrics: dict[str, int]
 
     def table(self, name: str) -> str:
         """What the catalog calls this version of the table ``name``."""
@@ -165,33 +166,38 @@ def write_snapshot(
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
     table: str | None = None,
+    metrics: Mapping[str, Column] | None = None,
 ) -> Snapshot:
     """Write ``df`` as the next version of ``root`` and remove versions replaced over ``keep`` seconds ago.
 
     The rows are counted as they are written. ``made_from`` is the version that ``df`` was made from:
     if another was committed since, nothing is and ``VersionConflict`` is raised (0: the first).
     With ``bucket_by`` the rows are dealt into ``buckets`` files by those columns and sorted by them; Spark
-    writes buckets for a catalog table only, a version of ``table``.
+    writes buckets for a catalog table only, a version of ``table``. ``metrics`` are further aggregates to
+    take of the rows as they are written, without another look at them; the manifest keeps their values.
+    A task that is run again counts once.
     """
     if bucket_by and (partition_by or buckets < 1 or not table):
         raise ValueError("buckets need their number and a table, and go without partitions")
     spark = df.sparkSession
     files, folder = _Files(spark, root), f"data/{uuid.uuid4().hex}"
     written = Observation()
-    count = F.count(F.lit(1)).alias("rows")
-    draft = Snapshot(0, 0, folder, df.schema.json(), tuple(partition_by), tuple(bucket_by), buckets, 0, 0, 0)
+    watched = [F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in (metrics or {}).items()]]
+    draft = Snapshot(0, 0, folder, df.schema.json(), tuple(partition_by), tuple(bucket_by), buckets, 0, 0, 0, {})
     if bucket_by:
         # the rows are counted where they are written, after they are dealt
-        dealt = df.repartition(buckets, *bucket_by).observe(written, count)
+        dealt = df.repartition(buckets, *bucket_by).observe(written, *watched)
         writer = dealt.write.format("parquet").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         writer.option("path", draft.location(files.root)).saveAsTable(draft.table(table))
     else:
-        df.observe(written, count).write.partitionBy(*partition_by).parquet(draft.location(files.root))
+        df.observe(written, *watched).write.partitionBy(*partition_by).parquet(draft.location(files.root))
     many, size = files.size(folder)
     # partition columns come last when the files are read
     inner = [field for field in df.schema.fields if field.name not in partition_by]
     schema = StructType(inner + [df.schema[name] for name in partition_by]).json()
-    found = _commit(files, replace(draft, schema=schema, rows=written.get["rows"], files=many, bytes=size), made_from)
+    seen = dict(written.get)
+    done = replace(draft, schema=schema, rows=seen.pop("rows"), files=many, bytes=size, metrics=seen)
+    found = _commit(files, done, made_from)
     expire_snapshots(spark, root, keep)
     return found
 

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerloom.sinks.snapshots import KEEP, Snapshot, latest_snapshot, list_snapshots, write_snapshot
 
@@ -30,6 +30,7 @@ def save_table(
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
     keep: float = KEEP,
+    metrics: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Create or replace ``table`` (``database.name``) as Parquet; the version that was written.
 
@@ -38,11 +39,12 @@ def save_table(
     the columns, partitions or buckets were before, the name is there at any time and shows one version
     whole. Tables that are bucketed by the key they are joined on, into as many buckets, are joined
     without a shuffle. The returned frame, and any frame taken before, stay with their version, whose
-    files are kept for ``keep`` seconds after its replacement.
+    files are kept for ``keep`` seconds after its replacement. The number of rows and further ``metrics``
+    are taken as the rows are written, and kept in the version's manifest (``table_snapshot``).
     """
     spark = df.sparkSession
     root = snapshot_root(spark, table)
-    written = write_snapshot(df, root, partition_by, keep, None, bucket_by, buckets, table)
+    written = write_snapshot(df, root, partition_by, keep, None, bucket_by, buckets, table, metrics)
     register_snapshot(spark, root, table, written)
     return spark.table(written.table(table))
 
@@ -54,6 +56,14 @@ def snapshot_root(spark: SparkSession, table: str) -> str:
     return f"{home.rstrip('/')}/{name}.versions"
 
 
+def table_snapshot(spark: SparkSession, table: str) -> Snapshot:
+    """The manifest of the latest version of ``table``."""
+    found = latest_snapshot(spark, snapshot_root(spark, table))
+    if found is None:
+        raise FileNotFoundError(f"{table} has no version")
+    return found
+
+
 def _create_version(spark: SparkSession, root: str, table: str, version: Snapshot) -> None:
     """The catalog's table of one version, if it lacks."""
     name = version.table(table)

@@ -316,6 +316,98 @@ WHERE customer_id IN (SELECT CAST(customer_id AS VARCHAR) FROM c_curated)
     return {key: _with(**ctes) + sql for key, sql in shown.items()}
 
 
+# --- what cleaning rejects --------------------------------------------------------------
+
+EMAIL = r"'^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$'"
+# Per landing table: its chain, key, whether a landing row's key is usable, and for each required
+# column how it reads (null: not at all) and what must hold then.
+JUDGED = {
+    "orders": (
+        ORDERS_CTES,
+        "order_id",
+        rf"regexp_full_match(trim(order_id), '\d+') AND lower(trim(order_id)) NOT IN ({ORDER_TOKENS})",
+        (ORDER_COLUMNS, ORDER_COLUMNS, ORDER_TOKENS),
+        {
+            "order_id": (r"CASE WHEN regexp_full_match(order_id, '\d+') THEN 1 END", None),
+            "customer_id": (r"CASE WHEN regexp_full_match(customer_id, '\d+') THEN 1 END", None),
+            "product_id": (r"CASE WHEN regexp_full_match(product_id, 'P\d+') THEN 1 END", None),
+            "order_date": (_dates("order_date", True), None),
+            "quantity": (_integer("quantity"), "> 0"),
+            "unit_price": (_number("unit_price"), ">= 0"),
+            "total_amount": (_number("total_amount"), ">= 0"),
+        },
+    ),
+    "products": (
+        PRODUCTS_CTES,
+        "product_id",
+        rf"regexp_full_match(trim(product_id), 'P\d+') AND lower(trim(product_id)) NOT IN ({PRODUCT_TOKENS})",
+        (PRODUCT_COLUMNS, PRODUCT_COLUMNS, PRODUCT_TOKENS),
+        {
+            "product_id": (r"CASE WHEN regexp_full_match(product_id, 'P\d+') THEN 1 END", None),
+            "product_name": ("product_name", None),
+            "category": ("category", None),
+            "brand": ("brand", None),
+            "price": (_number("price", True), ">= 0"),
+            "cost": (_number("cost", True), ">= 0"),
+            "created_date": (_dates("created_date", False), None),
+        },
+    ),
+    "customers": (
+        CUSTOMERS_CTES,
+        "customer_id",
+        "customer_id IS NOT NULL",
+        (CUSTOMER_COLUMNS, CUSTOMER_TEXTS, "''"),
+        {
+            "customer_id": ("customer_id", None),
+            "first_name": ("first_name", None),
+            "last_name": ("last_name", None),
+            "email": (f"CASE WHEN regexp_matches(email, {EMAIL}) THEN 1 END", None),
+            "signup_date": ("signup_date", None),
+        },
+    ),
+}
+
+
+def _tally(name: str) -> str:
+    ctes, _, usable, _, _ = JUDGED[name]
+    counts = {
+        "landed": "SELECT COUNT(*) FROM landing",
+        "usable": f"SELECT COUNT(*) FROM landing WHERE {usable}",
+        "surviving": f"SELECT COUNT(*) FROM survivors WHERE {usable}",
+        "kept": "SELECT COUNT(*) FROM curated",
+    }
+    shown = ", ".join(f"({sql}) AS {count}" for count, sql in counts.items())
+    return (
+        f"SELECT '{name}' AS table_name, landed, kept, usable - surviving AS duplicates, "
+        f"landed - usable + surviving - kept AS rejected FROM ({_with(**ctes)} SELECT {shown})"
+    )
+
+
+def _rules(name: str) -> str:
+    ctes, _, usable, (columns, texts, tokens), required = JUDGED[name]
+    listed = ", ".join(columns)
+    each = f"SELECT {listed} FROM survivors WHERE {usable} UNION ALL SELECT {listed} FROM landing WHERE ({usable}) IS NOT TRUE"
+    reasons = []
+    for column, (read, test) in required.items():
+        outside = f"WHEN NOT ({read} {test}) THEN '{column}: out of range' " if test else ""
+        reasons.append(
+            f"SELECT CASE WHEN {column} IS NULL THEN '{column}: missing' WHEN {read} IS NULL THEN "
+            f"'{column}: unreadable' {outside}END AS rule FROM judged_tidy"
+        )
+    parts = _with(**ctes, judged_rows=each, judged_tidy=_trimmed("judged_rows", columns, texts, tokens))
+    found = f"{parts} {' UNION ALL '.join(reasons)}"
+    return f"SELECT '{name}' AS table_name, rule, COUNT(*) AS rows FROM ({found}) WHERE rule IS NOT NULL GROUP BY rule"
+
+
+def _traced_counts() -> str:
+    tallies = " UNION ALL ".join(
+        f"SELECT table_name || ' {shown}' AS table_name, {column} AS record_count FROM ({_tally(name)})"
+        for name in JUDGED
+        for shown, column in (("source", "landed"), ("duplicates", "duplicates"), ("rejected", "rejected"))
+    )
+    return f"{tallies} UNION ALL SELECT * FROM ({_curated_job()['curate_retail']}) WHERE table_name LIKE '% curated'"
+
+
 # --- similarity -------------------------------------------------------------------------
 
 PAIRS = """
@@ -394,6 +486,9 @@ def all_oracles() -> dict[str, str]:
         "clean_customers": customers + SHOWN_CUSTOMERS.format(source="curated"),
         "clean_null_tokens": _with(landing=over_tables(inputs.LANDING_ORDERS))
         + _trimmed("landing", ORDER_COLUMNS, ORDER_COLUMNS, ORDER_TOKENS),
+        "landing_tally": " UNION ALL ".join(_tally(name) for name in JUDGED),
+        "rejected_rules": " UNION ALL ".join(_rules(name) for name in JUDGED),
+        "curate_retail_traced": _traced_counts(),
         "dedup_by_key": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM ("
         + _smallest("lineitem", "l_orderkey", line_columns)
         + ")",

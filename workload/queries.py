@@ -63,6 +63,29 @@ def clean_customers(spark, folder):
     return plain(plans.clean_customers(frame(spark, folder, inputs.LANDING_CUSTOMERS)))
 
 
+def _judged(spark, folder):
+    return {
+        "orders": plans.judge_orders(frame(spark, folder, inputs.LANDING_ORDERS)),
+        "products": plans.judge_products(frame(spark, folder, inputs.LANDING_PRODUCTS)),
+        "customers": plans.judge_customers(frame(spark, folder, inputs.LANDING_CUSTOMERS)),
+    }
+
+
+def landing_tally(spark, folder):
+    """For each landing table: landed = kept + duplicates + rejected."""
+    counted = [
+        df.agg(*[value.alias(name) for name, value in plans.tally().items()]).withColumn("table_name", F.lit(table_name))
+        for table_name, df in _judged(spark, folder).items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def rejected_rules(spark, folder):
+    """How many rows each rule had a part in rejecting."""
+    counted = [plans.rejected_rules(df).withColumn("table_name", F.lit(name)) for name, df in _judged(spark, folder).items()]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def clean_null_tokens(spark, folder):
     landing = frame(spark, folder, inputs.LANDING_ORDERS)
     return ops.null_tokens(landing, cleaning.ORDER_NULL_TOKENS)
@@ -184,7 +207,7 @@ def registered_exports(spark, folder):
     return ops.row_counts({view: other.table(f"{database}.{view}") for view in sources.CURATED_VIEWS.values()})
 
 
-def _curated(spark, folder):
+def _curated(spark, folder, **options):
     """Landing CSV files -> curated tables and exports; what landed and what was written."""
     scratch = scratch_folder(spark)
     read = {
@@ -202,13 +225,19 @@ def _curated(spark, folder):
         database=database_name(scratch),
         location=f"{scratch}/tables",
         export_folder=f"{scratch}/exports",
+        **options,
     )
-    return landed, curated
+    return landed, curated, database_name(scratch)
 
 
 def curate_retail(spark, folder):
     """The whole job, counted before and after."""
-    return plans.source_and_curated_counts(*_curated(spark, folder))
+    return plans.source_and_curated_counts(*_curated(spark, folder)[:2])
+
+
+def curate_retail_traced(spark, folder):
+    """The whole job with its rejects; the counts that its own writes took."""
+    return plans.job_counts(spark, _curated(spark, folder, trace=True)[2])
 
 
 def curated_sales(spark, folder):
@@ -507,6 +536,8 @@ def all_queries() -> dict[str, Query]:
         clean_products,
         clean_customers,
         clean_null_tokens,
+        landing_tally,
+        rejected_rules,
         dedup_by_key,
         distinct_keys,
         fk_valid_orders,
@@ -517,6 +548,7 @@ def all_queries() -> dict[str, Query]:
         register_curated,
         registered_exports,
         curate_retail,
+        curate_retail_traced,
         curated_sales,
         curated_monthly,
         pair_stats,
