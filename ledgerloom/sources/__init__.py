@@ -1,6 +1,9 @@
 from ledgerloom.sources.files import (
+    header_names,
+    misfit_counts,
     parse_delimited,
     read_csv,
+    read_csv_by_name,
     read_customer_amounts,
     read_customer_payments,
     read_customers_landing,
@@ -18,9 +21,12 @@ from ledgerloom.sources.views import CURATED_VIEWS, register_curated, register_e
 
 __all__ = [
     "CURATED_VIEWS",
+    "header_names",
+    "misfit_counts",
     "number_range",
     "parse_delimited",
     "read_csv",
+    "read_csv_by_name",
     "read_customer_amounts",
     "read_customer_payments",
     "read_customers_landing",

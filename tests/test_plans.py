@@ -7,6 +7,7 @@ import re
 import pytest
 from conftest import SMALL, final_plan, rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom import operators as ops
 from ledgerloom import plans, sinks, sources
@@ -129,7 +130,8 @@ def test_cleaning_filters_the_key_before_the_shuffle(spark):
 @pytest.mark.parametrize("name", ["orders", "products", "customers"])
 def test_cleaning_code_stays_under_the_jit_limit(spark, setting, tmp_path, name):
     setting("spark.sql.adaptive.enabled", "false")
-    (tmp_path / "empty.csv").write_text("h\n")
+    names = StructType.fromDDL(getattr(sources.schemas, f"{name.upper()}_LANDING")).names
+    (tmp_path / "empty.csv").write_text(",".join(names) + "\n")
     landing = getattr(sources, f"read_{name}_landing")(spark, f"file://{tmp_path}")
     sizes = method_sizes(getattr(plans, f"clean_{name}")(landing))
     assert sizes and max(sizes) < JIT_LIMIT

@@ -111,6 +111,17 @@ SELECT
 FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 """
 
+# The same as text, with cells that do not fit their types.
+BROKEN_CUSTOMERS = f"""
+SELECT CASE WHEN id % 17 = 1 THEN 'c' ELSE '' END || CAST(id AS STRING) AS customer_id,
+  first_name, last_name, email, phone,
+  CASE WHEN id % 11 = 2 THEN 'soon' ELSE CAST(signup_date AS STRING) END AS signup_date,
+  country, state, postal_code,
+  CASE WHEN id % 13 = 3 THEN 'maybe' ELSE CAST(is_active AS STRING) END AS is_active,
+  CASE WHEN id % 7 = 4 THEN 'many' ELSE CAST(loyalty_points AS STRING) END AS loyalty_points
+FROM (SELECT *, customer_id AS id FROM ({LANDING_CUSTOMERS}) AS landed) AS numbered
+"""
+
 # The curated retail tables over the clean data: every line item is a sold order line.
 RETAIL_ORDERS = """
 SELECT CAST(l_orderkey AS STRING) AS order_id,

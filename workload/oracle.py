@@ -480,7 +480,24 @@ def all_oracles() -> dict[str, str]:
         "SELECT * REPLACE (nullif(email, '') AS email) "
         f"FROM ({over_tables(inputs.LANDING_CUSTOMERS)})"
     )
+    broken = over_tables(inputs.BROKEN_CUSTOMERS)
+    fitting = {
+        "customer_id": "TRY_CAST(customer_id AS INTEGER)",
+        "signup_date": "CAST(TRY_CAST(signup_date AS DATE) AS VARCHAR)",
+        "is_active": "TRY_CAST(is_active AS BOOLEAN)",
+        "loyalty_points": "TRY_CAST(loyalty_points AS INTEGER)",
+    }
+    misfit = {
+        name: f"CASE WHEN {name} IS NOT NULL AND {value} IS NULL THEN '{name}: ' || {name} END" for name, value in fitting.items()
+    }
+    replaced = ", ".join(f"{value} AS {name}" for name, value in fitting.items())
     return {
+        "src_csv_checked": f"SELECT * REPLACE ({replaced}, nullif(email, '') AS email), "
+        f"concat_ws(', ', {', '.join(misfit.values())}) AS misfits FROM ({broken})",
+        "src_csv_misfits": " UNION ALL ".join(
+            f"SELECT '{name}' AS column, COUNT(cell) AS cells FROM (SELECT {value} AS cell FROM ({broken})) HAVING COUNT(cell) > 0"
+            for name, value in misfit.items()
+        ),
         "clean_orders": orders + SHOWN_ORDERS.format(source="curated"),
         "clean_products": products + SHOWN_PRODUCTS,
         "clean_customers": customers + SHOWN_CUSTOMERS.format(source="curated"),

@@ -445,6 +445,26 @@ def src_csv_strings(spark, folder):
     return _csv_round_trip(spark, landing, sources.read_orders_landing)
 
 
+def _broken_customers(spark, folder):
+    """Files of two column orders, one with a column more, with cells that do not fit."""
+    broken = frame(spark, folder, inputs.BROKEN_CUSTOMERS)
+    path = f"{scratch_folder(spark)}/csv"
+    odd = F.length("postal_code") + F.coalesce(F.length("state"), F.lit(0)) > 11
+    write_csv(broken.where(odd), f"{path}/one")
+    write_csv(broken.where(~odd).select(*reversed(broken.columns), F.lit("x").alias("remark")), f"{path}/two")
+    return sources.read_customers_landing(spark, f"{path}/*", misfits=True)
+
+
+def src_csv_checked(spark, folder):
+    """Columns bound by the headers' names, and the cells that did not fit."""
+    read = plain(_broken_customers(spark, folder))
+    return read.withColumn("misfits", F.array_join("misfits", ", "))
+
+
+def src_csv_misfits(spark, folder):
+    return sources.misfit_counts(_broken_customers(spark, folder))
+
+
 def src_csv_typed(spark, folder):
     landing = frame(spark, folder, inputs.LANDING_CUSTOMERS)
     return plain(_csv_round_trip(spark, landing, sources.read_customers_landing))
@@ -582,6 +602,8 @@ def all_queries() -> dict[str, Query]:
         num_first,
         count_by_value,
         src_csv_strings,
+        src_csv_checked,
+        src_csv_misfits,
         src_csv_typed,
         src_csv_infer,
         src_csv_headerless,
