@@ -24,10 +24,14 @@ _OWN_FOLDERS: dict[str, str] = {}
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the session names no such folder (tests on one machine) one is made for it.
+    Where the session names no such folder one is made for it, if all its tasks run in this process
+    (tests on one machine); a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         application = spark.sparkContext.applicationId
         if application not in _OWN_FOLDERS:
             _OWN_FOLDERS[application] = "file://" + tempfile.mkdtemp(prefix="llm-")

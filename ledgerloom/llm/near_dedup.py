@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import stored
-from ledgerloom.llm.shingles import Shingler
+from ledgerloom.llm.shingles import Shingler, mixed
 
 SKETCH = 64
 LISTED = 24
@@ -40,6 +40,8 @@ STAR_ROUNDS = 1
 # So many common values (8 MB) are at hand in every task; more are marked by a join.
 AT_HAND = 1_000_000
 PERCENT = 75
+# The filter for ids has at most so many bits.
+FILTER_BITS = 1 << 26
 
 SKETCHED = "doc_id long, n_shingles long, digest binary, sketch binary, values array<long>"
 
@@ -79,10 +81,46 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int = 5) -> DataFrame:
             packed = [shingler.shingles(text.as_py()).tobytes() for text in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["node", "members"])
 
-    chosen = docs.select(F.col("doc_id").alias("node"), "text").join(ids, "node", "left_semi")
+    chosen = maybe_in(docs.select(F.col("doc_id").alias("node"), "text"), ids).join(ids, "node", "left_semi")
     return chosen.mapInArrow(run, "node long, members binary")
 
 
+def _probes(ids: np.ndarray, bits: int) -> np.ndarray:
+    """Two places in a filter of ``bits`` bits, a power of two, for each id."""
+    hashed = mixed(ids.view(np.uint64))
+    return np.concatenate([hashed, hashed >> np.uint64(32)]) & np.uint64(bits - 1)
+
+
+def maybe_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose node is in ``ids``, and a few others, found without moving a row.
+
+    Two bits of a filter stand for each id; it has 16 bits an id and ``FILTER_BITS`` at most, 8 MB at
+    hand in every task. With more ids than that allows for more of the others are left, never fewer of those.
+    """
+    many = ids.count()
+    bits = min(FILTER_BITS, max(1024, 1 << (16 * many).bit_length()))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = _probes(batch.column(0).to_numpy(), bits)
+            bit = np.uint64(1) << (places & np.uint64(63))
+            yield pa.record_batch([pa.array((places >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))], names=["word", "bit"])
+
+    found = ids.select("node").mapInArrow(words, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    content = np.zeros(bits // 64, np.uint64)
+    content[found.column("word").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(content)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            places = _probes(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), bits)
+            there = (shared.value[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield batch.filter(pa.array(there[: batch.num_rows] & there[batch.num_rows :]))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def likely(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs (a, b) whose union sketch does not rule a link out."""
 

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from llm_rows import clashing, documents  # noqa: F401
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import exact_dedup, near_dedup, suffix_dedup
 from ledgerloom.llm.shingles import Shingler
@@ -230,3 +231,15 @@ def test_equal_strings_share_an_anchor():
         run = prints[start : start + suffix_dedup.PLACES]
         want |= {start + int(k) for k in np.flatnonzero(run == run.min())}
     assert set(at.tolist()) == want
+
+
+@pytest.mark.parametrize("many", [0, 1, 500])
+def test_filter_by_ids_loses_none_of_them(spark, monkeypatch, many):
+    rows = spark.range(-500, 4000).withColumnRenamed("id", "node").withColumn("text", F.lit("x"))
+    rows = rows.unionByName(spark.createDataFrame([(None, "y")], rows.schema))
+    ids = spark.range(0, many * 7, 7).withColumnRenamed("id", "node")
+    left = {row.node for row in near_dedup.maybe_in(rows, ids).collect()}
+    wanted = {row.node for row in ids.collect()}
+    assert wanted <= left and None not in left and len(left) <= len(wanted) + 400
+    monkeypatch.setattr(near_dedup, "FILTER_BITS", 64)  # far too small: more is left, nothing is lost
+    assert wanted <= {row.node for row in near_dedup.maybe_in(rows, ids).collect()}

@@ -89,9 +89,16 @@ def test_own_scratch_folder_only_where_none_is_named(spark):
             get = staticmethod(lambda key, default: default)
 
         class sparkContext:
-            applicationId = "test"
+            applicationId, master = "test", "local[4]"
 
     one, two = scratch_folder(Without, "a"), scratch_folder(Without, "a")
     assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert not shared or scratch_folder(spark, "a").startswith(shared)
+
+    class OnACluster(Without):
+        class sparkContext:
+            applicationId, master = "test", "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(OnACluster, "a")
