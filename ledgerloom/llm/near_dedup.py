@@ -73,52 +73,45 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int = 5) -> DataFrame:
-    """node, members (packed fingerprints) of the documents named in ``ids`` (node)."""
+    """node, members (packed fingerprints) of the documents named in ``ids`` (node), and of a few others.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
-        for batch in batches:
-            packed = [shingler.shingles(text.as_py()).tobytes() for text in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["node", "members"])
-
-    chosen = maybe_in(docs.select(F.col("doc_id").alias("node"), "text"), ids).join(ids, "node", "left_semi")
-    return chosen.mapInArrow(run, "node long, members binary")
-
-
-def _probes(ids: np.ndarray, bits: int) -> np.ndarray:
-    """Two places in a filter of ``bits`` bits, a power of two, for each id."""
-    hashed = mixed(ids.view(np.uint64))
-    return np.concatenate([hashed, hashed >> np.uint64(32)]) & np.uint64(bits - 1)
-
-
-def maybe_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose node is in ``ids``, and a few others, found without moving a row.
-
-    Two bits of a filter stand for each id; it has 16 bits an id and ``FILTER_BITS`` at most, 8 MB at
-    hand in every task. With more ids than that allows for more of the others are left, never fewer of those.
+    No text is moved: a filter of all ids is at hand in every task. Two bits of it stand for each id; it
+    has 16 bits an id and ``FILTER_BITS`` (8 MB) at most. With more ids than that allows for there are
+    more of the others, never fewer of those.
     """
     many = ids.count()
     bits = min(FILTER_BITS, max(1024, 1 << (16 * many).bit_length()))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = _probes(batch.column(0).to_numpy(), bits)
+            places = _probes(batch.column(0), bits)
             bit = np.uint64(1) << (places & np.uint64(63))
             yield pa.record_batch([pa.array((places >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))], names=["word", "bit"])
 
     found = ids.select("node").mapInArrow(words, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     content = np.zeros(bits // 64, np.uint64)
     content[found.column("word").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
-    shared = rows.sparkSession.sparkContext.broadcast(content)
+    shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(size)
         for batch in batches:
-            batch = batch.filter(batch.column(0).is_valid())
-            places = _probes(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), bits)
+            places = _probes(batch.column(0), bits)
             there = (shared.value[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
-            yield batch.filter(pa.array(there[: batch.num_rows] & there[batch.num_rows :]))
+            wanted = np.flatnonzero(there[: batch.num_rows] & there[batch.num_rows :])
+            for begin in range(0, len(wanted), 256):
+                part = batch.take(pa.array(wanted[begin : begin + 256]))
+                packed = [shingler.shingles(text.as_py()).tobytes() for text in part.column(1)]
+                yield pa.record_batch([part.column(0), pa.array(packed, pa.binary())], names=["node", "members"])
 
-    return rows.mapInArrow(run, rows.schema)
+    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
+    return rows.mapInArrow(run, "node long, members binary")
+
+
+def _probes(ids: pa.Array, bits: int) -> np.ndarray:
+    """Two places in a filter of ``bits`` bits, a power of two, for each id: all first ones, then all second ones."""
+    hashed = mixed(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+    return np.concatenate([hashed, hashed >> np.uint64(32)]) & np.uint64(bits - 1)
 
 
 def likely(pairs: DataFrame, sketched: DataFrame) -> DataFrame:

@@ -234,12 +234,14 @@ def test_equal_strings_share_an_anchor():
 
 
 @pytest.mark.parametrize("many", [0, 1, 500])
-def test_filter_by_ids_loses_none_of_them(spark, monkeypatch, many):
-    rows = spark.range(-500, 4000).withColumnRenamed("id", "node").withColumn("text", F.lit("x"))
-    rows = rows.unionByName(spark.createDataFrame([(None, "y")], rows.schema))
-    ids = spark.range(0, many * 7, 7).withColumnRenamed("id", "node")
-    left = {row.node for row in near_dedup.maybe_in(rows, ids).collect()}
+def test_sets_of_all_named_documents(spark, monkeypatch, many):
+    """The filter of ids loses none of them, and leaves few others unless it is far too small."""
+    docs = spark.range(-500, 4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c d e "), "id").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(None, "y")], "doc_id long, text string"))
+    ids = spark.range(0, max(many, 1) * 7, 7).withColumnRenamed("id", "node").limit(many)
     wanted = {row.node for row in ids.collect()}
-    assert wanted <= left and None not in left and len(left) <= len(wanted) + 400
-    monkeypatch.setattr(near_dedup, "FILTER_BITS", 64)  # far too small: more is left, nothing is lost
-    assert wanted <= {row.node for row in near_dedup.maybe_in(rows, ids).collect()}
+    found = {row.node: row.members for row in near_dedup.full_sets(docs, ids).collect()}
+    assert wanted <= set(found) and None not in found and len(found) <= len(wanted) + 400
+    assert all(found[n] == Shingler().shingles(f"a b c d e {n}").tobytes() for n in found)
+    monkeypatch.setattr(near_dedup, "FILTER_BITS", 64)
+    assert wanted <= {row.node for row in near_dedup.full_sets(docs, ids).collect()}
