@@ -30,6 +30,7 @@ from ledgerloom.operators.similarity import (
     similar_items_topk,
     user_item_moments,
 )
+from ledgerloom.operators.strong_similarity import strong_candidates, strong_similarities
 from ledgerloom.operators.text import level_words, split_words, word_count, word_lengths
 
 __all__ = [
@@ -58,6 +59,8 @@ __all__ = [
     "similar_items_stored",
     "similar_items_topk",
     "split_words",
+    "strong_candidates",
+    "strong_similarities",
     "take_ordered",
     "top",
     "total_by",

@@ -556,6 +556,8 @@ def all_oracles() -> dict[str, str]:
         "item_similarity": _with(**PAIR_CTES) + "SELECT * FROM scored",
         "item_similarity_dedup": _with(**(PAIR_CTES | {"rated": ONCE_RATED}))
         + "SELECT * FROM scored",
+        "strong_similarities": _with(**PAIR_CTES)
+        + f"SELECT * FROM scored WHERE score > {MIN_SCORE} AND num_pairs > {MIN_PAIRS}",
         "similar_items_topk": SIMILAR_SQL,
         "similar_items_lookup": SIMILAR_SQL,
         "item_title": f"SELECT coalesce(min(s_name), '{SIMILAR_TO}') AS title FROM supplier "

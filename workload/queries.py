@@ -283,6 +283,12 @@ def similar_items_lookup(spark, folder):
     return ops.similar_items_lookup(ratings, titles, SIMILAR_TO, **RATED_BY, **bounds)
 
 
+def strong_similarities(spark, folder):
+    """All pairs above both bounds, without forming the others."""
+    ratings = frame(spark, folder, inputs.RATINGS)
+    return ops.strong_similarities(ratings, **RATED_BY, min_score=MIN_SCORE, min_pairs=MIN_PAIRS)
+
+
 def item_title(spark, folder):
     return ops.item_title(frame(spark, folder, inputs.TITLES), SIMILAR_TO)
 
@@ -576,6 +582,7 @@ def all_queries() -> dict[str, Query]:
         item_similarity_dedup,
         similar_items_topk,
         similar_items_lookup,
+        strong_similarities,
         item_title,
         graph_degree,
         min_degree_ties,
