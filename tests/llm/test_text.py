@@ -389,3 +389,67 @@ def test_quality_of_odd_rows(spark, clashing):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in found)
     assert all(r.kept for r in quality.quality_scores(docs, labels.limit(0)).collect())
     assert quality.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def taught(x, y, w):
+    """By brute force: mean gradient and bound on the curvature over the rows of both classes."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    p = 1 / (1 + np.exp(-(x @ w)))
+    halves = [(x[y == k], p[y == k] - k) for k in (0, 1) if (y == k).any()]
+    return [sum(part) / len(halves) for part in zip(*(((a.T @ d) / len(a), a.T @ a / 4 / len(a)) for a, d in halves))]
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_quality_lessons_are_of_all_sure_documents(spark, clashing, copies):
+    """Against brute force over all rows without a label; twice the rows are twice the documents that teach."""
+    chance = np.random.default_rng(4)
+    texts = ["".join(chance.choice(list("abcde fgh&#"), 30)) for _ in range(80)]
+    rows = [(1000 * c + i, f"{x} {c}", "en", "s" if i % 3 else "t", i) for c in range(copies) for i, x in enumerate(texts)]
+    known = spark.createDataFrame([(i, 1.0) for i in range(0, 80, 8)], "doc_id long, good double")
+    features = quality.unlabelled_features(clashing(*rows), known)
+    rest = [r for r in rows if r[0] % 8 or r[0] >= 80]
+    assert features.count() == len(rest) == 80 * copies - 10
+    text = np.stack([quality.text_features(r[1]) for r in rest]).astype(np.float16).astype(float)
+    meta = np.stack([quality.meta_features(*r[2:]) for r in rest]).astype(float)
+    views = [quality.Logistic(chance.normal(size=n) * size, 0.1) for n, size in ((quality.TEXT_SIZE, 4.0), (quality.META_SIZE, 3.0))]
+    for share in (0.1, 0.5, 1.0):
+        found = quality.lessons_of(features, views, 0.7, share)
+        for pupil, own, other in ((0, text, meta), (1, meta, text)):
+            z = views[1 - pupil].logit(other)
+            steps = quality.steps_of(z, 0.7)
+            told = np.zeros(len(z), bool)
+            for side in (z > 0, z <= 0):
+                allowed, sure = share * side.sum(), sorted(set(steps[side & (steps >= 0)]), reverse=True)
+                for k, step in enumerate(sure):
+                    if k and (side & (steps >= step)).sum() > allowed:
+                        break
+                    told |= side & (steps >= step)
+            gradient, curvature = taught(own[told], (z[told] > 0).astype(int), views[pupil].all_weights())
+            assert np.allclose(found[pupil].gradient, gradient) and np.allclose(found[pupil].curvature, curvature)
+
+
+def test_a_lesson_lies_above_the_loss():
+    """A step down the parabola is a step down the loss of the documents that teach."""
+    chance = np.random.default_rng(5)
+    x, y = chance.normal(size=(300, 6)), chance.integers(0, 2, 300)
+    x[:, 0] += 2 * y
+    w = np.zeros(7)
+    x1 = np.hstack([x, np.ones((300, 1))])
+
+    def loss(v):
+        each = np.logaddexp(0, np.where(y > 0, -1, 1) * (x1 @ v))
+        return (each[y == 0].mean() + each[y == 1].mean()) / 2
+
+    for _ in range(5):
+        lesson = quality.Lesson(w, *taught(x, y, w))
+        below = w - np.linalg.solve(lesson.curvature, lesson.gradient)
+        assert loss(below) < loss(w) and np.allclose(lesson.slope(below), 0, atol=1e-9)
+        w = below
+
+
+def test_quality_counts_repeated_ids_once(spark, clashing):
+    """One id with many rows sends one of them to the fit."""
+    rows = [(i % 40, ("good words here " if i % 2 else "&&&### $$$ ") * 5, "en", "s", 9) for i in range(400)]
+    chosen = spark.createDataFrame([(i, float(i % 2)) for i in range(40)], "doc_id long, good double")
+    good, text, meta = quality._labelled(clashing(*rows), chosen)
+    assert len(good) == len(text) == len(meta) == 40 and list(good) == [float(i % 2) for i in range(40)]
