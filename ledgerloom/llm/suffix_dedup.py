@@ -10,6 +10,10 @@ far. Entries with the same surroundings as an earlier one are repeats. Where an
 surroundings, these are fetched from the texts and compared byte by byte: 100-byte strings that an
 earlier one has too are repeats. What is new becomes a level, and levels of equal size merge, so that
 an entry is rewritten once for each doubling.
+
+An anchor that takes a large share of all entries (a phrase of many documents) is dealt by its
+surroundings too, so that no task holds all its places; its surroundings all count as open. Texts
+without open places are not moved to be read, nor those without repeats to be cut.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import stored
+from ledgerloom.llm.id_filter import named_in
 from ledgerloom.llm.shingles import mixed
 
 LENGTH = 100
@@ -33,6 +38,10 @@ PLACES = BEFORE + 1
 # Surroundings of one anchor that are compared in one task; more are spread by their strings.
 TOGETHER = 100_000
 CHUNK = 20_000
+# About so many documents tell which anchors are crowded: those with this share of an average partition.
+SAMPLE = 5_000
+CROWDED_SHARE = 0.25
+CROWDED_LEAST = 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _OF_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -128,16 +137,38 @@ def suffix_array(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, ENTRY)
 
 
+def crowded_anchors(docs: DataFrame) -> list[int]:
+    """The hashes of the anchors that would fill a large part of a task, as a sample of ``docs`` shows.
+
+    They decide how entries are dealt to tasks, and no result. There are at most partitions / ``CROWDED_SHARE``.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = docs.sample(min(1.0, SAMPLE / max(docs.count(), 1)), seed=1)
+    counts = stored(suffix_array(sample).filter("NOT repeat").groupBy("fp").agg(F.count("*").alias("n")), "anchors")
+    total = counts.agg(F.sum("n").alias("n")).first().n or 0
+    least = max(CROWDED_LEAST, total * CROWDED_SHARE / partitions)
+    return sorted(row.fp for row in counts.filter(F.col("n") >= least).collect())
+
+
+def dealt(rows: DataFrame, crowded: list[int]) -> DataFrame:
+    """``rows`` by anchor; those of crowded anchors by their surroundings too."""
+    if not crowded:
+        return rows.repartition("fp")
+    return rows.repartition("fp", F.when(F.col("fp").isin(crowded), F.col("around")))
+
+
 SCANNED = "kind string, fp long, around long, key long, pos int, right int"
 
 
-def scan(entries: DataFrame, levels: list[DataFrame], keep: bool = True) -> DataFrame:
+def scan(entries: DataFrame, levels: list[DataFrame], keep: bool = True, crowded: list[int] | None = None) -> DataFrame:
     """The batch's array and the levels, merged by hash and read in order.
 
     kind is ``repeat`` (an earlier entry has the same surroundings), ``new`` (the first with them, of
     the batch; only to ``keep`` it) or ``open`` (one of several surroundings of an anchor, the
-    batch's among them).
+    batch's among them; with a crowded anchor, any).
     """
+    crowded = crowded or []
+    known = np.array(crowded, np.int64)
     rows = entries.select(*[c.split()[0] for c in ENTRY.split(", ")[:-1]], "repeat", F.lit(True).alias("fresh"))
     for level in levels:
         rows = rows.unionByName(level.select("*", F.lit(False).alias("repeat"), F.lit(False).alias("fresh")))
@@ -149,7 +180,7 @@ def scan(entries: DataFrame, levels: list[DataFrame], keep: bool = True) -> Data
             same = same_fp & np.concatenate([[False], around[1:] == around[:-1]]) | done
             group = np.cumsum(~same_fp) - 1
             kinds = np.bincount(group, ~same)
-            is_open = ~same & ((kinds > 1) & (np.bincount(group, fresh & ~same) > 0))[group]
+            is_open = ~same & (((kinds > 1) & (np.bincount(group, fresh & ~same) > 0))[group] | np.isin(fp, known))
             for kind, chosen in (("repeat", same & fresh), ("new", ~same & fresh & keep), ("open", is_open)):
                 if chosen.any():
                     yield pa.record_batch(
@@ -158,7 +189,7 @@ def scan(entries: DataFrame, levels: list[DataFrame], keep: bool = True) -> Data
                     )
 
     # a repeat is settled; last in its group, it does not stand before the entry that it repeats
-    merged = rows.repartition("fp").sortWithinPartitions("fp", "repeat", "around", "key", "pos")
+    merged = dealt(rows, crowded).sortWithinPartitions("fp", "repeat", "around", "key", "pos")
     return merged.mapInArrow(run, SCANNED)
 
 
@@ -186,18 +217,19 @@ def _columns(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
 class SuffixLevels:
     """The family: levels of 1, 2, 4 .. batches; a later batch holds later documents."""
 
-    def __init__(self) -> None:
+    def __init__(self, crowded: list[int] | None = None) -> None:
         self.levels: list[tuple[int, DataFrame]] = []
+        self.crowded = crowded or []
 
     def add(self, docs: DataFrame, keep: bool = True) -> DataFrame:
         """Scan a batch (key, text) against the levels and, to ``keep`` it, make it one."""
-        scanned = stored(scan(suffix_array(docs), [level for _, level in self.levels], keep), "scanned")
+        scanned = stored(scan(suffix_array(docs), [level for _, level in self.levels], keep, self.crowded), "scanned")
         if keep:
             columns = [c.split()[0] for c in SCANNED.split(", ")[1:]]
             self.levels.append((1, scanned.filter("kind = 'new'").select(*columns)))
             while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
                 (size, late), (_, early) = self.levels.pop(), self.levels.pop()
-                merged = early.unionByName(late).repartition("fp").sortWithinPartitions("fp", "around")
+                merged = dealt(early.unionByName(late), self.crowded).sortWithinPartitions("fp", "around")
                 self.levels.append((2 * size, stored(merged, "level")))
         return scanned.filter("kind <> 'new'")
 
@@ -223,7 +255,8 @@ def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
     pa_schema = pa.schema(
         [("fp", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("left", pa.int32()), ("right", pa.int32()), ("around", pa.binary())]
     )
-    joined = docs.select("key", "text").join(by_key, "key")
+    named = named_in(places.select("key"))
+    joined = docs.select("key", "text").filter(named(F.col("key"))).join(by_key, "key")
     return joined.mapInArrow(run, "fp long, key long, pos int, left int, right int, around binary")
 
 
@@ -339,7 +372,7 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
         keyed = stored(ordered.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"), "keyed")
     shares = [k / batches for k in range(1, batches)]
     bounds = sorted(set(keyed.stat.approxQuantile("key", shares, 0.01))) if shares else []
-    family, parts = SuffixLevels(), []
+    family, parts = SuffixLevels(crowded_anchors(keyed)), []
     for k, (low, high) in enumerate(zip([None, *bounds], [*bounds, None])):
         batch = keyed
         if low is not None:
@@ -350,7 +383,7 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
     scanned = parts[0]
     for part in parts[1:]:
         scanned = scanned.unionByName(part)
-    places = scanned.filter("kind = 'open'").select("fp", "key", "pos").distinct()
+    places = scanned.filter("kind = 'open'").select("fp", "key", "pos").distinct()  # an anchor can be open in two batches
     same = scanned.filter((F.col("kind") == "repeat") & (F.least("pos", F.lit(BEFORE)) + F.col("right") >= LENGTH)).select(
         "key", F.greatest(F.col("pos") - BEFORE, F.lit(0)).alias("start"), (F.col("pos") + F.col("right")).alias("end")
     )
@@ -375,4 +408,12 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
                     names=[c.split()[0] for c in RESULT.split(", ")],
                 )
 
-    return keyed.join(by_key, "key", "left").select("key", "doc_id", "text", "spans").mapInArrow(run, RESULT).drop("key")
+    named = named_in(by_key.select("key"))
+    rows = keyed.select("key", "doc_id", "text", named(F.col("key")).alias("named"))
+    touched = rows.filter("named").join(by_key, "key", "left").select("key", "doc_id", "text", "spans").mapInArrow(run, RESULT)
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    zero = F.lit(0).cast("long")
+    whole = rows.filter("NOT named").select(
+        "key", "doc_id", F.octet_length(data).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), data.alias("kept")
+    )
+    return touched.unionByName(whole).drop("key")

@@ -9,7 +9,7 @@ import pytest
 from llm_rows import clashing, documents  # noqa: F401
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, near_dedup, suffix_dedup
+from ledgerloom.llm import exact_dedup, id_filter, near_dedup, suffix_dedup
 from ledgerloom.llm.shingles import Shingler
 
 
@@ -205,6 +205,19 @@ def test_repeats_around_crowded_anchors(documents, monkeypatch):
     assert suffix_found(documents(*rows)) == {key: sorted(value) for key, value in suffix_brute(rows).items()}
 
 
+def test_repeats_with_crowded_phrases_dealt_by_surroundings(documents, monkeypatch):
+    """Anchors of a phrase in all documents go to many tasks, whose results are the same."""
+    phrase = " one phrase, shorter than a string that is removed, which every one of these documents has "
+    rows = [(i, prose(i, 15) + phrase + prose(i % 7 + 90, 15)) for i in range(60)]
+    monkeypatch.setattr(suffix_dedup, "CROWDED_SHARE", 0.5)
+    crowded = suffix_dedup.crowded_anchors(documents(*rows).withColumnRenamed("doc_id", "key"))
+    assert crowded
+    entries = suffix_dedup.suffix_array(documents(*rows).withColumnRenamed("doc_id", "key"))
+    parts = suffix_dedup.dealt(entries.filter(F.col("fp") == crowded[0]), crowded).select(F.spark_partition_id().alias("p")).distinct()
+    assert parts.count() > 1
+    assert suffix_found(documents(*rows)) == {key: sorted(value) for key, value in suffix_brute(rows).items()}
+
+
 def test_repeats_with_null_and_equal_ids(documents):
     rows = [(None, prose(1)), (1, prose(1)), (1, prose(1)), (1, prose(2)), (None, None)]
     assert suffix_found(documents(*rows)) == {key: sorted(value) for key, value in suffix_brute(rows).items()}
@@ -233,6 +246,17 @@ def test_equal_strings_share_an_anchor():
     assert set(at.tolist()) == want
 
 
+def test_filter_names_every_id_and_few_others(spark):
+    ids = spark.range(-300, 3000, 3).withColumnRenamed("id", "key")
+    rows = spark.range(-1000, 20_000).unionByName(spark.createDataFrame([(None,)], "id long"))
+    wanted = {row.key for row in ids.collect()}
+    for most in (id_filter.FILTER_BITS, 64):
+        found = [row.id for row in rows.filter(id_filter.named_in(ids, most)(F.col("id"))).collect()]
+        assert wanted <= set(found) and None not in found
+        assert most == 64 or len(found) <= len(wanted) + 1000
+    assert rows.filter(id_filter.named_in(ids.limit(0))(F.col("id"))).count() == 0
+
+
 @pytest.mark.parametrize("many", [0, 1, 500])
 def test_sets_of_all_named_documents(spark, monkeypatch, many):
     """The filter of ids loses none of them, and leaves few others unless it is far too small."""
