@@ -294,9 +294,9 @@ def repeats_within(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np
 
 def open_repeats(docs: DataFrame, places: DataFrame) -> DataFrame:
     """key, start, end of the repeats around open places."""
-    around = stored(surroundings(docs, places), "surroundings")
-    many = around.groupBy("fp").agg(F.count("*").alias("n")).filter(F.col("n") > TOGETHER).select("fp")
-    few = around.join(many, "fp", "left_anti")
+    many = places.groupBy("fp").agg(F.count("*").alias("n")).filter(F.col("n") > TOGETHER).select("fp")
+    crowds = not many.isEmpty()
+    few = surroundings(docs, places.join(many, "fp", "left_anti") if crowds else places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
@@ -320,7 +320,10 @@ def open_repeats(docs: DataFrame, places: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array(c) for c in zip(*rows)], names=["before", "key", "pos", "string"])
 
     near = few.repartition("fp").sortWithinPartitions("fp", "key", "pos").mapInArrow(run, "key long, start int, end int")
-    spread = around.join(many, "fp", "left_semi").mapInArrow(strings, "before long, key long, pos long, string binary")
+    if not crowds:
+        return near
+    around = surroundings(docs, places.join(many, "fp", "left_semi"))
+    spread = stored(around.mapInArrow(strings, "before long, key long, pos long, string binary"), "strings")
     firsts = spread.groupBy("string").agg(F.min(F.struct("key", F.expr("pos - before").alias("at"))).alias("first"))
     far = (
         spread.join(firsts, "string")
@@ -383,7 +386,8 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
     scanned = parts[0]
     for part in parts[1:]:
         scanned = scanned.unionByName(part)
-    places = scanned.filter("kind = 'open'").select("fp", "key", "pos").distinct()  # an anchor can be open in two batches
+    # an anchor can be open in two batches
+    places = stored(scanned.filter("kind = 'open'").select("fp", "key", "pos").distinct(), "places")
     same = scanned.filter((F.col("kind") == "repeat") & (F.least("pos", F.lit(BEFORE)) + F.col("right") >= LENGTH)).select(
         "key", F.greatest(F.col("pos") - BEFORE, F.lit(0)).alias("start"), (F.col("pos") + F.col("right")).alias("end")
     )
