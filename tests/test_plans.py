@@ -291,3 +291,15 @@ def test_landing_inputs_name_only_given_tables():
     texts = [value for name, value in vars(inputs).items() if name.isupper() and name != "TABLES"]
     names = {name for text in texts for name in re.findall(r"\{(\w+)\}", text)}
     assert names <= set(inputs.TABLES)
+
+
+def test_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setting):
+    """Groups of users that rate their group's items: few rows for each pair travel, not one per task."""
+    setting("spark.sql.shuffle.partitions", "16")
+    setting("spark.sql.adaptive.enabled", "false")
+    ratings = spark.sql("SELECT u.id AS u, 10 * (u.id DIV 40) + i.id AS i, 1.0D AS r FROM range(1280) AS u, range(10) AS i")
+    found = ops.pair_stats(ratings, "u", "i", "r")
+    assert [row.num_pairs for row in found.collect()] == [40] * (32 * 45)
+    exchanges = [node for node in _nodes(found) if "ShuffleExchange" in node.getClass().getName()]
+    pairs = [_metric(node, "shuffleRecordsWritten") for node in exchanges if "hashpartitioning(item1" in node.toString()]
+    assert len(pairs) == 1 and 32 * 45 <= pairs[0] < 2 * 32 * 45
