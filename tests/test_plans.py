@@ -303,3 +303,14 @@ def test_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setting):
     exchanges = [node for node in _nodes(found) if "ShuffleExchange" in node.getClass().getName()]
     pairs = [_metric(node, "shuffleRecordsWritten") for node in exchanges if "hashpartitioning(item1" in node.toString()]
     assert len(pairs) == 1 and 32 * 45 <= pairs[0] < 2 * 32 * 45
+
+
+def test_strong_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setting):
+    setting("spark.sql.shuffle.partitions", "16")
+    setting("spark.sql.adaptive.enabled", "false")
+    ratings = spark.sql("SELECT u.id AS u, 10 * (u.id DIV 40) + i.id AS i, 1.0D AS r FROM range(1280) AS u, range(10) AS i")
+    found = ops.strong_candidates(ratings, "u", "i", "r")
+    assert len(found.collect()) == 32 * 45
+    exchanges = [node for node in _nodes(found) if "ShuffleExchange" in node.getClass().getName()]
+    pairs = [_metric(node, "shuffleRecordsWritten") for node in exchanges if "hashpartitioning(item1" in node.toString()]
+    assert len(pairs) == 1 and 32 * 45 <= pairs[0] < 2 * 32 * 45
