@@ -314,3 +314,11 @@ def test_strong_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setti
     exchanges = [node for node in _nodes(found) if "ShuffleExchange" in node.getClass().getName()]
     pairs = [_metric(node, "shuffleRecordsWritten") for node in exchanges if "hashpartitioning(item1" in node.toString()]
     assert len(pairs) == 1 and 32 * 45 <= pairs[0] < 2 * 32 * 45
+
+
+def test_saved_sales_come_out_of_the_saved_tables(spark, monkeypatch):
+    """The lines and their orders are joined once, for the orders table."""
+    seen, enriched = [], plans.sales_enriched
+    monkeypatch.setattr(plans, "sales_enriched", lambda *frames: seen.extend(frames) or enriched(*frames))
+    queries.save_curated(spark, SMALL)
+    assert len(seen) == 3 and not [file for df in seen for file in df.inputFiles() if SMALL in file]
