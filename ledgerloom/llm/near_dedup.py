@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import slices, stored
 from ledgerloom.llm.shingles import Shingler, mixed
 
 SKETCH = 64
@@ -55,7 +55,7 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingler.shingles(text.as_py()) for text in batch.column(1)]
             kept = [s[:SKETCH] for s in sets]
             yield pa.record_batch(
@@ -114,14 +114,18 @@ def _probes(ids: pa.Array, bits: int) -> np.ndarray:
     return np.concatenate([hashed, hashed >> np.uint64(32)]) & np.uint64(bits - 1)
 
 
+def _packed(column: pa.Array) -> Iterator[np.ndarray]:
+    """The fingerprints packed in each row of ``column``: views of its memory, no copies."""
+    return (np.frombuffer(row.as_buffer(), np.uint64) for row in column)
+
+
 def likely(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs (a, b) whose union sketch does not rule a link out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(_packed(batch.column(2)), _packed(batch.column(3))):
                 both = np.sort(np.concatenate([x, y]))
                 same = both[1:] == both[:-1]
                 union = np.concatenate([both[:1], both[1:][~same]])[:SKETCH]
@@ -145,8 +149,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(_packed(batch.column(2)), _packed(batch.column(3))):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(linked(shared, len(x), len(y)))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -205,7 +208,7 @@ def rare_prefixes(sets: DataFrame, chosen: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             packed = batch.column(1).to_pylist()
             counts = np.array([len(p) // 8 for p in packed], np.int64)
             tokens = np.frombuffer(b"".join(packed), np.int64)

@@ -6,7 +6,8 @@ from hashlib import blake2b
 
 import numpy as np
 
-KEPT_WORDS = 400_000
+# The prints of so many words are at hand in a task (8 MB); most words of a text that are not among them occur once.
+KEPT_WORDS = 50_000
 
 
 class _WordPrints(dict):
