@@ -119,3 +119,32 @@ def test_a_traced_job_counts_in_its_own_writes(spark, folder):
         assert rows(traced[name]) == rows(table) and traced[name].dtypes == table.dtypes
     rejected = spark.table(f"{database}.orders_judged").where("NOT kept")
     assert sorted(row.failed_rules[0] for row in rejected.collect()) == ["order_id: unreadable", "quantity: unreadable"]
+
+
+@pytest.mark.parametrize("judge, make", [(plans.judge_orders, orders), (plans.judge_products, products), (plans.judge_customers, customers)])
+def test_reasons_are_counted_without_the_columns_after_them(spark, judge, make):
+    base = {"orders": ORDER, "products": PRODUCT, "customers": CUSTOMER}[make.__name__]
+    landing = make(spark, *[{}, {}], *[{name: None} for name in base], *[{name: None} for name in base])
+    whole, short = judge(landing), judge(landing, reasons_only=True)
+    assert "landing" not in short.columns and not {"payment_method", "is_active", "country"} & set(short.columns)
+    assert rows(plans.rejected_rules(short)) == rows(plans.rejected_rules(whole)) != []
+    tallies = [df.agg(*plans.tally().values()).first() for df in (whole, short)]
+    assert tallies[0] == tallies[1]
+
+
+def test_a_later_column_does_not_change_the_reasons(spark):
+    landing = orders(
+        spark,
+        {"order_status": "a", "quantity": "9"},
+        {"order_status": "b", "quantity": "0"},  # the smaller row, by a column before
+        {"order_id": "x", "order_status": "a"},
+        {"order_id": "x", "order_status": "b"},
+    )
+    judged = plans.judge_orders(landing, reasons_only=True)
+    assert rows(plans.rejected_rules(judged)) == [("order_id: unreadable", 2), ("quantity: out of range", 1)]
+
+
+def test_rules_are_worked_out_once_and_after_the_survivors_only(spark):
+    plan = queries.rejected_rules(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Filter" in line and "RLIKE" in line]
+    assert not [line for line in plan if "payment_method" in line or "loyalty_points" in line]
