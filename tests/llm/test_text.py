@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from llm_rows import clashing, documents  # noqa: F401
@@ -181,6 +182,51 @@ def test_expected_counts_are_those_of_all_paths(monkeypatch):
         assert np.allclose(a, b)
 
 
+@pytest.mark.parametrize("block", [1, 50, 400_000])
+def test_likelihood_of_long_texts_of_rare_words(block, monkeypatch):
+    for name, value in (("BLOCK", block), ("STATES", 3), ("OWN_CLASS", 3), ("HASHED", 1)):
+        monkeypatch.setattr(hmm, name, value)
+    rng = np.random.default_rng(5)
+    emit = rng.dirichlet(np.ones(4), 3).T * 1e-26
+    model = hmm.Model(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), emit)
+    texts = [rng.integers(0, 4, n).astype(np.uint16) for n in (3, 700, 1, 40, 41, 4, 40)]
+    for text, found in zip(texts, model.log_likelihood(texts)):
+        share, want = model.start, 0.0
+        for t, word in enumerate(text):
+            share = (share @ model.step if t else share) * emit[word]
+            want += math.log10(share.sum())
+            share = share / share.sum()
+        assert abs(found - want) < 1e-9 * -want
+    counts = model.expected(texts)
+    assert np.allclose(counts.emit.sum(axis=1), np.bincount(np.concatenate(texts)))
+    assert np.isclose(counts.step.sum(), sum(len(text) - 1 for text in texts)) and np.isclose(counts.start.sum(), 7)
+
+
+def test_words_are_cut_at_ascii_blanks_only():
+    texts = [f"a{chr(i)}B" for i in range(256)] + [chr(i) for i in range(256)]
+    texts += [None, "", " \t\n", " a", "a ", "\r\na\x0b\x0c b\t", "\u2003É \u2028x", "Kİ", "𝄞 日本 \x00"]
+    found = hmm.tokens_of(pa.array(texts)).to_pylist()
+    assert [[word.encode() for word in words] for words in found] == [
+        (text or "").encode().lower().split() + [b""] for text in texts
+    ]
+
+
+def test_texts_are_read_as_often_whatever_the_passes(spark, documents):
+    def rows_read(passes):
+        read = spark.sparkContext.accumulator(0)
+
+        def run(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        docs = documents(*((i, f"a b{i % 7} c") for i in range(40)))
+        hmm.score_documents(docs.mapInArrow(run, docs.schema), passes=passes, sample=20, sample_passes=1).collect()
+        return read.value
+
+    assert rows_read(3) == rows_read(1) > 0
+
+
 @pytest.mark.parametrize("at_hand", [20, 131_072])
 def test_scores_match_the_counts(documents, clashing, at_hand, monkeypatch):
     monkeypatch.setattr(hmm, "AT_HAND", at_hand)
