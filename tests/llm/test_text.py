@@ -248,6 +248,27 @@ def test_scores_match_the_counts(documents, clashing, at_hand, monkeypatch):
         assert abs(row.base_score - base) < 1e-6 * max(1, -base) and row.score < 0
 
 
+def test_every_pass_learns_from_all_training_documents(documents):
+    """Also those beyond any sample, and long texts: as many passes from chance over all of them give the scores."""
+    chance = random.Random(8)
+    texts = [" ".join(f"w{chance.randrange(9) + 9 * (i % 2)}" for _ in range(chance.randrange(1, 20))) for i in range(520)]
+    texts[7] = texts[8] = "rare pair " * 2000
+    docs = documents(*enumerate(texts))
+    words = hmm.known_words(hmm.token_counts(docs))
+    tokens = hmm.tokens_of(pa.array(texts))
+    ranks, classes = words.look_up(tokens.values)
+    ends = np.array(tokens.offsets)
+    classes = np.split(classes, ends[1:-1])
+    training = [c for i, c in enumerate(classes) if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert len(training) > 400
+    model = hmm.chance_model(words)
+    for _ in range(14):
+        model = model.expected(training).model(words.class_total)
+    want = model.log_likelihood(classes) + np.add.reduceat(words.shares[ranks], ends[:-1])
+    found = {row.doc_id: row.score for row in hmm.score_documents(docs).collect()}
+    assert all(abs(found[i] - score) < 1e-6 * -score for i, score in enumerate(want))
+
+
 def test_model_beats_the_counts_on_held_out_text(spark):
     found = hmm.score_documents(table(spark, SMALL, "documents")).filter("held_out")
     sums = found.groupBy().sum("base_score", "score", "n_tokens").first()
