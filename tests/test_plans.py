@@ -305,6 +305,18 @@ def test_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setting):
     assert len(pairs) == 1 and 32 * 45 <= pairs[0] < 2 * 32 * 45
 
 
+def test_ratings_move_once_on_the_way_to_their_pairs(spark, setting):
+    """Beside the ratings themselves only counts of users and folded pairs are shuffled."""
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "4")
+    ratings = spark.sql("SELECT u.id AS u, 10 * (u.id DIV 40) + i.id AS i, 1.0D AS r FROM range(1280) AS u, range(10) AS i")
+    found = ops.pair_stats(ratings, "u", "i", "r")
+    assert len(found.collect()) == 32 * 45
+    exchanges = [node for node in _nodes(found) if "ShuffleExchange" in node.getClass().getName()]
+    moved = sum(_metric(node, "shuffleRecordsWritten") for node in exchanges if "item1" not in node.toString().split("\n")[0])
+    assert 12800 <= moved <= 12800 + 4 * 1280
+
+
 def test_strong_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setting):
     setting("spark.sql.shuffle.partitions", "16")
     setting("spark.sql.adaptive.enabled", "false")
