@@ -5,6 +5,7 @@ from ledgerloom.sinks.snapshots import (
     latest_snapshot,
     read_snapshot,
     list_snapshots,
+    release_shuffles,
     write_snapshot,
 )
 from ledgerloom.sinks.tables import (
@@ -29,6 +30,7 @@ __all__ = [
     "read_back",
     "read_snapshot",
     "register_snapshot",
+    "release_shuffles",
     "save_parquet",
     "save_table",
     "side_by_side",

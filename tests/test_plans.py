@@ -328,6 +328,14 @@ def test_strong_pairs_of_neighbouring_users_fold_before_the_shuffle(spark, setti
     assert len(pairs) == 1 and 32 * 45 <= pairs[0] < 2 * 32 * 45
 
 
+def test_landing_and_written_files_are_small(spark, folder, monkeypatch):
+    """Landing files are compressed, and tables by a codec that takes less disk."""
+    monkeypatch.setattr(queries, "scratch_folder", lambda spark: folder)
+    landed, curated, _ = queries._curated(spark, SMALL)
+    assert all(file.endswith(".csv.gz") for df in landed.values() for file in df.inputFiles())
+    assert all(".zstd.parquet" in file for df in curated.values() for file in df.inputFiles())
+
+
 def test_saved_sales_come_out_of_the_saved_tables(spark, monkeypatch):
     """The lines and their orders are joined once, for the orders table."""
     seen, enriched = [], plans.sales_enriched

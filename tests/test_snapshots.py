@@ -23,6 +23,20 @@ def numbers(spark, n, **columns):
     return spark.range(n).withColumns({name: F.expr(sql) for name, sql in columns.items()})
 
 
+def test_shuffle_files_of_a_write_are_gone_after_it(spark, folder):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {int(name.split("_")[1]) for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    last = max(shuffles(), default=-1)
+    sinks.save_parquet(numbers(spark, 1000).repartition(3, "id"), f"{folder}/dealt")
+    until = time.time() + 20
+    while (left := {n for n in shuffles() if n > last}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
 def test_versions_follow_each_other(spark, folder):
     root = f"{folder}/root"
     first = sinks.write_snapshot(numbers(spark, 5), root)
