@@ -19,6 +19,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def no_views_left(spark):
+    """Views of a module's session are not listed in the databases of the next one."""
+    yield
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)
+
+
 @pytest.fixture
 def setting(spark):
     """Change session settings for one test: ``setting(key, value)``."""
